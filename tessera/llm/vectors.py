@@ -25,7 +25,7 @@ DIM, ENDS = 64, 6
 #: Neighbours per vector, least cosine of a pair, and what the 4-bit copies may be off by.
 K, LEAST, SLACK = 5, 0.9, 0.07
 CROWD = 20
-_POST = np.dtype([("cell", "<u8"), ("row", "<i8"), ("side", "u1"), ("q", "u1", (DIM // 2,))])
+_POST = np.dtype([("cell", "<u4"), ("row", "<i8"), ("side", "u1"), ("q", "u1", (DIM // 2,))])
 
 
 def usable(v: str):
@@ -85,10 +85,11 @@ def _from_four_bits(q: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1)[:, None]
 
 
-def _postings(vectors: DataFrame, n: int) -> DataFrame:
+def _postings(vectors: DataFrame, versions: DataFrame, n: int) -> DataFrame:
+    """Counts are taken over all versions, as they lie; superseded ones only make them larger."""
     dirs, parts = directions(n), blocks.parts_of(vectors)
     slot = lambda c: (blocks.mix(c) % np.uint64(blocks.SKETCH)).astype(np.int64)
-    size = blocks.counts(vectors.select("vector"), lambda b: slot(_cells(_matrix(b.column(0)), dirs).ravel()) if b.num_rows else np.zeros(0, np.int64))
+    size = blocks.counts(versions.filter(usable("vector")).select("vector"), lambda b: slot(_cells(_matrix(b.column(0)), dirs).ravel()) if b.num_rows else np.zeros(0, np.int64))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,24 +101,29 @@ def _postings(vectors: DataFrame, n: int) -> DataFrame:
             key = c.ravel()
             idx, cell, side = blocks.spread(key, row[at], size[slot(key)])
             out = np.empty(len(idx), _POST)
-            out["cell"], out["row"], out["side"], out["q"] = cell, row[at[idx]], side, q[at[idx]]
+            out["cell"], out["row"], out["side"], out["q"] = _short(cell), row[at[idx]], side, q[at[idx]]
             yield blocks.pack(cell, out, parts)
 
     return blocks.by_part(vectors.select("key", "vector").mapInArrow(post, "part INT, rows BINARY"))
 
 
+def _short(cell: np.ndarray) -> np.ndarray:
+    """32 bits of a cell; cells that fall together only bring more vectors together."""
+    return (blocks.mix(cell) >> np.uint64(32)).astype(np.uint32)
+
+
 def _labels(v: np.ndarray, side: np.ndarray, least: float) -> np.ndarray:
     """Of each row of a cell the least row that it hangs together with by similar pairs; -1 without any."""
     n = len(v)
     lab, alone = np.arange(n), np.ones(n, bool)
-    across = bool(side[0] & 2)
+    two, upper = (side & 2) > 0, (side & 1) > 0  # of a cell for two blocks only pairs across count
     rounds = 0
     while True:
         new = lab.copy()
         for s in range(0, n, 1024):
             hit = v[s : s + 1024] @ v.T >= least
-            if across:
-                hit &= (side[s : s + 1024, None] & 1) != (side[None, :] & 1)
+            if two.any():
+                hit &= ~(two[s : s + 1024, None] & two[None, :]) | (upper[s : s + 1024, None] != upper[None, :])
             hit[np.arange(len(hit)), np.arange(s, s + len(hit))] = False
             if rounds == 0:
                 alone[s : s + 1024] = ~hit.any(1)
@@ -130,7 +136,7 @@ def _labels(v: np.ndarray, side: np.ndarray, least: float) -> np.ndarray:
     return np.where(alone, -1, lab)
 
 
-def suspects(vectors: DataFrame, n: int, least: float = LEAST) -> DataFrame:
+def suspects(c: Collection, least: float = LEAST) -> DataFrame:
     """``key, leader``: vectors that may have a similar one, each beside a key that all those close to it share."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +164,7 @@ def suspects(vectors: DataFrame, n: int, least: float = LEAST) -> DataFrame:
                 k = np.unique(np.stack([np.concatenate(keys), np.concatenate(leaders)], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1])], names=["key", "leader"])
 
-    return _postings(vectors, n).mapInArrow(meet, "key BIGINT, leader BIGINT").distinct()
+    return cut(_postings(c.vectors, c.versions, c.n).mapInArrow(meet, "key BIGINT, leader BIGINT").distinct())
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, visit, schema: str) -> DataFrame:
@@ -214,9 +220,10 @@ def _nearest(k: int, least: float):
     def visit(ids: np.ndarray, v: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(ids, kind="stable")
         ids, v, own = ids[order], v[order], own[order]
-        _, code = np.unique(ids, return_inverse=True)
-        for s, c in _compared(v, own, code):
-            m = min(2 * k + 2, c.shape[1])  # rows are sorted by id, so a stable sort breaks ties by it; identical rows may fill some
+        first = np.concatenate([[True], ids[1:] != ids[:-1]])
+        ids, v, own = ids[first], v[first], own[first]
+        for s, c in _compared(v, own, np.arange(len(ids))):
+            m = min(k, c.shape[1])  # rows are sorted by id, so a stable sort breaks ties by it
             best = np.argsort(-c, axis=1, kind="stable")[:, :m]
             sc = np.take_along_axis(c, best, 1)
             r, j = np.nonzero(sc >= least)
@@ -250,6 +257,7 @@ class Collection:
     """
 
     def __init__(self, versions: DataFrame) -> None:
+        self.versions = versions
         v = versions.withColumn("ok", usable("vector")).withColumn("h", F.xxhash64("vector"))
         small = live(v, ["ok", "h"]).filter("ok").select("key", "id", "h").distinct()
         self.small = cut(small)
@@ -267,7 +275,7 @@ def neighbours(versions: DataFrame, k: int = K, least: float = LEAST) -> DataFra
     Rows without a usable vector take no part; no vectors give no rows. Cosines are rounded to 6 decimals.
     """
     c = Collection(versions)
-    near = _verified(suspects(c.vectors, c.n, least), c.vectors, _nearest(k, least), "id STRING, other STRING, cosine DOUBLE").distinct()
+    near = _verified(suspects(c, least), c.vectors, _nearest(k, least), "id STRING, other STRING, cosine DOUBLE").distinct()
     if c.any_copies:
         # ids stand for their class: the k + 1 least ids of a class are all that can be among k neighbours
         m = c.copies.select(F.col("id"), F.col("rep").alias("class")).distinct()
@@ -284,7 +292,11 @@ def neighbours(versions: DataFrame, k: int = K, least: float = LEAST) -> DataFra
 def crowd_members(versions: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
     """``id`` of the vectors with at least k other ids at that cosine. Counts stop at k, so crowds of any size cost no more."""
     c = Collection(versions)
-    seen = _verified(suspects(c.vectors, c.n, least), c.vectors, _counted(k, least), "id STRING, other STRING").distinct()
+    return crowded(c, suspects(c, least), k, least)
+
+
+def crowded(c: Collection, near: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
+    seen = _verified(near, c.vectors, _counted(k, least), "id STRING, other STRING").distinct()
     if c.any_copies:
         name = c.copies.filter("key = rep").select(F.col("id").alias("name"), "rep").distinct()
         sizes = c.copies.groupBy("rep").agg(F.count("*").alias("size")).join(name, "rep").select("name", "size")
