@@ -8,6 +8,7 @@ each pair of rows meets exactly once.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,31 +37,40 @@ def parts_of(df: DataFrame) -> int:
     return PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], size: int = SKETCH) -> np.ndarray:
-    """How often each slot occurs in all rows: an array of ``size`` counters, added up per task, then per slice.
+def sliced(c: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Counters as slices for the shuffle, compressed; slices of zeros are left out."""
+    parts = [(i, x) for i, x in enumerate(np.split(c, SLICES)) if x.any()]
+    return [i for i, _ in parts], [zlib.compress(x.astype("<i8").tobytes(), 1) for _, x in parts]
 
-    What reaches the driver is ``8 * size`` bytes, whatever the data.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = np.zeros(size, np.int64)
-        for b in batches:
-            c += np.bincount(slots(b), minlength=size)
-        for i, x in enumerate(np.split(c.astype(np.int64 if c.max() > 2**31 - 1 else np.int32), SLICES)):
-            if x.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary()), pa.array([x.dtype.itemsize], pa.int32())], names=["i", "c", "w"])
+def added(slices: DataFrame, size: int) -> np.ndarray:
+    """The sum of slices ``i INT, c BINARY``: an array of ``size`` counters, ``8 * size`` bytes for the driver, whatever the data."""
 
     def add(g: pd.DataFrame) -> pd.DataFrame:
-        s = sum(np.frombuffer(c, np.int32 if w == 4 else np.int64).astype(np.int64) for c, w in zip(g["c"], g["w"], strict=True))
+        s = sum(np.frombuffer(zlib.decompress(c), "<i8") for c in g["c"])
         return pd.DataFrame({"i": [int(g["i"].iloc[0])], "c": [s.tobytes()]})
 
     out = np.zeros(size, np.int64)
     step = size // SLICES
-    for r in df.mapInArrow(run, "i INT, c BINARY, w INT").groupBy("i").applyInPandas(add, "i INT, c BINARY").collect():
-        out[r["i"] * step : (r["i"] + 1) * step] = np.frombuffer(r["c"], np.int64)
+    for r in slices.groupBy("i").applyInPandas(add, "i INT, c BINARY").collect():
+        out[r["i"] * step : (r["i"] + 1) * step] = np.frombuffer(r["c"], "<i8")
     return out
 
 
+def counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], size: int = SKETCH) -> np.ndarray:
+    """How often each slot occurs in all rows, added up per task, then per slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = np.zeros(size, np.int64)
+        for b in batches:
+            c += np.bincount(slots(b), minlength=size)
+        i, x = sliced(c)
+        if i:
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(x, pa.binary())], names=["i", "c"])
+
+    return added(df.mapInArrow(run, "i INT, c BINARY"), size)
+
+
 def spread(key: np.ndarray, row: np.ndarray, n: np.ndarray, hot: int = HOT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cells of postings: index of the posting, cell, and side (0: the lower block of the pair, 1: the higher).
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import blocks
 from tessera.llm.graph import components
-from tessera.llm.shingles import Hasher, runs, words
+from tessera.llm.shingles import Hasher, batch_sets, runs, words
 from tessera.session import cut, table
 
 _POST = np.dtype([("cell", "<u8"), ("row", "<i8"), ("m0", "<u8"), ("m1", "<u8"), ("size", "<u4"), ("at", "<u4"), ("side", "u1")])
@@ -36,9 +36,6 @@ class Measure:
             raise ValueError("0 < num <= den and run >= 1 must hold")
         self.run, self.num, self.den, self.least_words = run, num, den, max(least_words, run)
 
-    def prefix(self, s: int) -> int:
-        return s - -(-s * self.num // self.den) + 1
-
     def reach(self, a, b):
         """Whether an overlap of ``o`` suffices is ``o * (num + den) >= num * (a + b)``; this is the right side."""
         return self.num * (a + b)
@@ -48,47 +45,38 @@ class Measure:
 DEFAULT, FOUND = Measure(5, 4, 5, 5), Measure()
 
 
-def _sets(texts: pa.Array, m: Measure, hasher: Hasher) -> Iterator[tuple[int, np.ndarray]]:
-    for i, t in enumerate(texts.to_pylist()):
-        w = words(t)
-        if len(w) >= m.least_words:
-            yield i, np.unique(runs(hasher(w), m.run))
-
-
 def _slot(x: np.ndarray) -> np.ndarray:
     return (blocks.mix(x) % np.uint64(blocks.SKETCH)).astype(np.int64)
 
 
-def _digest(s: np.ndarray) -> np.int64:
-    with np.errstate(over="ignore"):
-        return np.int64(np.uint64(blocks.mix(s).sum(dtype=np.uint64) ^ (blocks.mix(s + np.uint64(1)) >> np.uint64(7)).sum(dtype=np.uint64)).astype(np.int64))
+def _starts(rec: np.ndarray, n: int) -> np.ndarray:
+    return np.searchsorted(rec, np.arange(n))
 
 
-def _signatures(texts: DataFrame, m: Measure) -> DataFrame:
-    """``key, o, digest`` of every version with enough words; the digest stands for the set."""
+def _read(texts: DataFrame, m: Measure) -> DataFrame:
+    """One pass over all versions as they lie: ``key, id, src, u, digest`` of each with enough words, the digest standing
+    for its set; and, in rows with ``slice``, counters of the members of all sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, c, kind = Hasher(), np.zeros(blocks.SKETCH, np.int64), None
         for b in batches:
-            got = [(i, _digest(s)) for i, s in _sets(b.column(1), m, hasher)]
-            d = np.zeros(b.num_rows, np.int64)
-            ok = np.zeros(b.num_rows, bool)
-            for i, x in got:
-                d[i], ok[i] = x, True
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d), pa.array(ok)], names=["n", "digest", "ok"])
-
-    out = "n STRUCT<key: BIGINT, id: STRING, src: INT, u: TIMESTAMP_NTZ>, digest BIGINT, ok BOOLEAN"
-    return texts.select(F.struct("key", "id", "src", "u").alias("n"), "text").mapInArrow(run, out).select("n.*", "digest", "ok")
-
-
-def _counts(texts: DataFrame, m: Measure) -> np.ndarray:
-    hasher = Hasher()
-
-    def slots(b: pa.RecordBatch) -> np.ndarray:
-        got = [s for _, s in _sets(b.column(0), m, hasher)]
-        return _slot(np.concatenate(got)) if got else np.zeros(0, np.int64)
-
-    return blocks.counts(texts.select("text"), slots)
+            kind = b.schema.field(0).type
+            at, rec, r = batch_sets(b.column(1).to_pylist(), m.run, m.least_words, hasher)
+            c += np.bincount(_slot(r), minlength=blocks.SKETCH)
+            d, ok = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, bool)
+            if len(at):
+                start = _starts(rec, len(at))
+                x = np.add.reduceat(blocks.mix(r), start) ^ (np.add.reduceat(blocks.mix(r + np.uint64(1)), start) >> np.uint64(7))
+                d[at], ok[at] = x.astype(np.int64), True
+            none = pa.nulls(b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d), pa.array(ok), none.cast(pa.int32()), none.cast(pa.binary())], names=["n", "digest", "ok", "slice", "c"])
+        k, x = blocks.sliced(c)
+        if k and kind is not None:
+            none = pa.nulls(len(k))
+            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.bool_()), pa.array(k, pa.int32()), pa.array(x, pa.binary())], names=["n", "digest", "ok", "slice", "c"])
+
+    out = "n STRUCT<key: BIGINT, id: STRING, src: INT, u: TIMESTAMP_NTZ>, digest BIGINT, ok BOOLEAN, slice INT, c BINARY"
+    return texts.select(F.struct("key", "id", "src", "u").alias("n"), "text").mapInArrow(run, out).select("n.*", "digest", "ok", "slice", "c")
 
 
 def _postings(texts: DataFrame, m: Measure, size: np.ndarray) -> DataFrame:
@@ -97,22 +85,26 @@ def _postings(texts: DataFrame, m: Measure, size: np.ndarray) -> DataFrame:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches:
-            keys = np.asarray(b.column(0))
-            cells, rows = [], []
-            for i, s in _sets(b.column(1), m, hasher):
-                n = size[_slot(s)]
-                order = np.lexsort((s, n))[: m.prefix(len(s))]
-                bits = s % np.uint64(128)
-                low, high = bits[bits < 64], bits[bits >= 64] - np.uint64(64)
-                m0 = np.bitwise_or.reduce(np.uint64(1) << low) if len(low) else np.uint64(0)
-                m1 = np.bitwise_or.reduce(np.uint64(1) << high) if len(high) else np.uint64(0)
-                at, cell, side = blocks.spread(s[order], np.full(len(order), keys[i]), n[order])
-                r = np.empty(len(at), _POST)
-                r["cell"], r["row"], r["m0"], r["m1"], r["size"], r["at"], r["side"] = cell, keys[i], m0, m1, len(s), at, side
-                cells.append(cell)
-                rows.append(r)
-            if cells:
-                yield blocks.pack(np.concatenate(cells), np.concatenate(rows), parts)
+            at, rec, r = batch_sets(b.column(1).to_pylist(), m.run, m.least_words, hasher)
+            if not len(at):
+                continue
+            keys = np.asarray(b.column(0))[at]
+            start = _starts(rec, len(at))
+            card = np.diff(np.append(start, len(rec)))
+            bit = np.uint64(1) << (r & np.uint64(63))
+            upper = (r & np.uint64(64)) > 0
+            zero = np.uint64(0)
+            m0, m1 = np.bitwise_or.reduceat(np.where(upper, zero, bit), start), np.bitwise_or.reduceat(np.where(upper, bit, zero), start)
+            n = size[_slot(r)]
+            o = np.lexsort((r, n, rec))  # rarest first
+            place = np.arange(len(r)) - start[rec]  # rec is sorted either way
+            pick = place < (card - -(-card * m.num // m.den) + 1)[rec]
+            r, n, rec, place = r[o][pick], n[o][pick], rec[pick], place[pick]
+            idx, cell, side = blocks.spread(r, keys[rec], n)
+            who = rec[idx]
+            x = np.empty(len(idx), _POST)
+            x["cell"], x["row"], x["m0"], x["m1"], x["size"], x["at"], x["side"] = cell, keys[who], m0[who], m1[who], card[who], place[idx], side
+            yield blocks.pack(cell, x, parts)
 
     return blocks.by_part(texts.select("key", "text").mapInArrow(post, "part INT, rows BINARY"))
 
@@ -156,7 +148,9 @@ class NearDuplicates:
 
     def __init__(self, versions: DataFrame, m: Measure = DEFAULT) -> None:
         t = versions.filter("id is not null and text is not null").select(blocks.id_hash("id").alias("key"), "id", "src", "u", "text")
-        top = _signatures(t, m).groupBy("key", "id").agg(F.max_by(F.struct("src", "u", "digest", "ok"), F.struct("src", "u", "digest")).alias("r"))
+        read = cut(_read(t, m))
+        size = blocks.added(read.filter("slice is not null").select(F.col("slice").alias("i"), "c"), blocks.SKETCH)
+        top = read.filter("slice is null").groupBy("key", "id").agg(F.max_by(F.struct("src", "u", "digest", "ok"), F.struct("src", "u", "digest")).alias("r"))
         sig = cut(top.filter("r.ok").select("key", "id", "r.src", "r.u", "r.digest"))
         rep = sig.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("x"), F.count("*").alias("c")).select("digest", F.col("x.key").alias("rep"), F.col("x.id").alias("rep_id"), "c")
         self.copies = cut(sig.join(rep, "digest").select("key", "id", "src", "u", "rep", "rep_id", "c"))
@@ -164,7 +158,7 @@ class NearDuplicates:
         # the text of each representative, once, placed by key for both the postings and the verification
         placed = t.select("key", "src", "u", "text").repartition("key")
         self.texts = placed.join(chosen, "key").filter("src = s and u <=> v").groupBy("key").agg(F.max("text").alias("text"))
-        cand = _candidates(_postings(self.texts, m, _counts(t, m)), m)
+        cand = _candidates(_postings(self.texts, m, size), m)
         self.pairs = self._verify(cand, m)
 
     def _verify(self, cand: DataFrame, m: Measure) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import xxhash
 
 _WORD = re.compile("[0-9a-z]+")
+_MARKS = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x20000)) if unicodedata.combining(c)) + "]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -17,7 +18,7 @@ def words(text: str | None) -> list[str]:
     if not text:
         return []
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+        text = _MARKS.sub("", unicodedata.normalize("NFD", text))
     return _WORD.findall(text.lower())
 
 
@@ -32,13 +33,9 @@ class Hasher:
         seen = self._seen
         if len(seen) > self._most:
             seen.clear()
-        out = []
-        for w in ws:
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = xxhash.xxh64_intdigest(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+        for w in set(ws).difference(seen):
+            seen[w] = xxhash.xxh64_intdigest(w)
+        return np.fromiter(map(seen.__getitem__, ws), np.uint64, len(ws))
 
 
 def runs(h: np.ndarray, n: int) -> np.ndarray:
@@ -52,3 +49,26 @@ def runs(h: np.ndarray, n: int) -> np.ndarray:
         out ^= out >> np.uint64(32)
         out *= np.uint64(0xD6E8FEB86659FD93)
         return out ^ (out >> np.uint64(29))
+
+
+def batch_sets(texts: list[str | None], n: int, least: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sets of word runs of all texts with at least so many words.
+
+    Returns the places of these texts, and for each member the number of its text among them and its hash, sorted by both.
+    """
+    at, lens, flat = [], [], []
+    for i, t in enumerate(texts):
+        w = words(t)
+        if len(w) >= max(least, n):
+            at.append(i)
+            lens.append(len(w))
+            flat.extend(w)
+    r = runs(hasher(flat), n)
+    rec = np.repeat(np.arange(len(at)), lens)
+    inside = rec[: len(r)] == rec[n - 1 : n - 1 + len(r)]
+    r, rec = r[inside], rec[: len(r)][inside]
+    o = np.lexsort((r, rec))
+    r, rec = r[o], rec[o]
+    first = np.ones(len(r), bool)
+    first[1:] = (r[1:] != r[:-1]) | (rec[1:] != rec[:-1])
+    return np.array(at, np.int64), rec[first], r[first]
