@@ -33,8 +33,8 @@ LEAST_WORDS, MOST_VOTES = 3, 4
 #: A sentence is blamed for a verdict that no neighbour explains if it is this far from all good ones and its third most
 #: usual pair of words is in no more than this share of all sentences.
 STRANGE, USUAL = 0.3, 0.001
-#: Share of verdicts taken to be wrong.
-WRONG = 0.05
+#: Share of verdicts taken to be wrong; least score of a bad document.
+WRONG, BAD_FROM = 0.05, 0.6
 BAD = ("abusive", "hateful", "sexual")
 #: Digits and signs that stand for letters.
 LEET = str.maketrans("01345789$@!", "oieastbgsai")
@@ -229,16 +229,16 @@ def vote(bad: np.ndarray, count: np.ndarray, cosine: np.ndarray) -> float:
 
 
 def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Isotonic fit (pool adjacent violators), as steps ``(from, value)``."""
+    """Isotonic fit (pool adjacent violators): where each pool begins, and its level."""
     o = np.argsort(x, kind="stable")
-    level: list[list[float]] = []
+    pools: list[list[float]] = []
     for a, b in zip(x[o], y[o], strict=True):
-        level.append([b, 1.0, a])
-        while len(level) > 1 and level[-2][0] >= level[-1][0]:
-            v, n, _ = level.pop()
-            u = level[-1]
+        pools.append([b, 1.0, a])
+        while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
+            v, n, _ = pools.pop()
+            u = pools[-1]
             u[0], u[1] = (u[0] * u[1] + v * n) / (u[1] + n), u[1] + n
-    return np.array([g[2] for g in level]), np.array([g[0] for g in level])
+    return np.array([p[2] for p in pools]), np.array([p[0] for p in pools])
 
 
 def document_labels(labels: DataFrame) -> DataFrame:
@@ -361,8 +361,11 @@ class Model:
         return y, votes
 
     def calibrated(self, v: float) -> float:
-        """The vote and the share of bad documents at such votes, in equal parts, as labels are few and partly wrong."""
-        if not len(self.steps):
+        """The vote and the share of bad documents at such votes, in equal parts, as labels are few and partly wrong.
+
+        Between two pools the lower one holds; a vote of nine in ten stands by itself.
+        """
+        if not len(self.steps) or v >= 0.9:
             return v
         k = int(np.searchsorted(self.steps, v, "right")) - 1
         return 0.5 * v + 0.5 * float(self.values[max(0, k)])
@@ -400,7 +403,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "source").mapInArrow(run, "doc_id BIGINT, source STRING, score DOUBLE, evidence STRING")
 
 
-def source_rates(scored: DataFrame, least: float = 0.5) -> DataFrame:
+def source_rates(scored: DataFrame, least: float = BAD_FROM) -> DataFrame:
     """``source, documents, bad, rate`` by plain source name; documents without a source are one group."""
     g = scored.groupBy(plain_source("source").alias("source")).agg(F.count("*").alias("documents"), F.sum((F.col("score") >= least).cast("bigint")).alias("bad"))
     return g.withColumn("rate", F.round(F.col("bad") / F.col("documents"), 6))
@@ -411,7 +414,7 @@ def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p10_scores(spark, sf_dir).filter("score >= 0.5").select("doc_id").distinct()
+    return p10_scores(spark, sf_dir).filter(F.col("score") >= BAD_FROM).select("doc_id").distinct()
 
 
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
