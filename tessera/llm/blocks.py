@@ -89,6 +89,11 @@ def spread(key: np.ndarray, row: np.ndarray, n: np.ndarray, hot: int = HOT) -> t
     return at, cell, np.where(big & (mine > other), 1, 0).astype(np.uint8) + np.where(big & (lo != hi), 2, 0).astype(np.uint8)
 
 
+def short(cell: np.ndarray) -> np.ndarray:
+    """32 bits of a cell; cells that fall together only bring more rows together."""
+    return (mix(cell) >> np.uint64(32)).astype(np.uint32)
+
+
 def pack(cell: np.ndarray, rows: np.ndarray, parts: int) -> pa.RecordBatch:
     """One binary row per part with the rows (a structured array) whose cells belong to it."""
     p = (mix(cell) % np.uint64(parts)).astype(np.int32)

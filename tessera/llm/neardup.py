@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from tessera.llm import blocks
 from tessera.llm.graph import components
 from tessera.llm.shingles import Hasher, batch_sets, runs, words
-from tessera.session import cut, table
+from tessera.session import cut, stored, table
 
-_POST = np.dtype([("cell", "<u8"), ("row", "<i8"), ("m0", "<u8"), ("m1", "<u8"), ("size", "<u4"), ("at", "<u4"), ("side", "u1")])
+#: ``at``: place in the order as a share of the size, rounded down.
+_POST = np.dtype([("cell", "<u4"), ("row", "<i8"), ("m0", "<u8"), ("m1", "<u8"), ("size", "<u4"), ("at", "<u2"), ("side", "u1")])
+_FULL = 65_536
 
 
 class Measure:
@@ -103,7 +105,8 @@ def _postings(texts: DataFrame, m: Measure, size: np.ndarray) -> DataFrame:
             idx, cell, side = blocks.spread(r, keys[rec], n)
             who = rec[idx]
             x = np.empty(len(idx), _POST)
-            x["cell"], x["row"], x["m0"], x["m1"], x["size"], x["at"], x["side"] = cell, keys[who], m0[who], m1[who], card[who], place[idx], side
+            x["cell"], x["row"], x["m0"], x["m1"], x["side"] = blocks.short(cell), keys[who], m0[who], m1[who], side
+            x["size"], x["at"] = card[who], place[idx] * _FULL // card[who]
             yield blocks.pack(cell, x, parts)
 
     return blocks.by_part(texts.select("key", "text").mapInArrow(post, "part INT, rows BINARY"))
@@ -117,13 +120,14 @@ def _candidates(postings: DataFrame, m: Measure) -> DataFrame:
         for x in blocks.unpacked(batches, _POST):
             order, start, end = blocks.groups(x["cell"])
             x = x[order]
-            size, at = x["size"].astype(np.int64), x["at"].astype(np.int64)
+            size = x["size"].astype(np.int64)
+            at = x["at"].astype(np.int64) * size // _FULL  # at most the true place
             found = []
             for i, j in blocks.pairs_of(start, end):
                 s, t = size[i], size[j]
                 ok = (m.den * np.minimum(s, t) >= m.num * np.maximum(s, t)) & (x["row"][i] != x["row"][j])
                 ok &= ((x["side"][i] & 2) == 0) | ((x["side"][i] & 1) != (x["side"][j] & 1))
-                ok &= (1 + np.minimum(s - at[i], t - at[j]) - 1) * total >= m.reach(s, t)
+                ok &= np.minimum(s - at[i], t - at[j]) * total >= m.reach(s, t)
                 i, j = i[ok], j[ok]
                 s, t = size[i], size[j]
                 apart = np.bitwise_count(x["m0"][i] ^ x["m0"][j]).astype(np.int64) + np.bitwise_count(x["m1"][i] ^ x["m1"][j])
@@ -148,12 +152,12 @@ class NearDuplicates:
 
     def __init__(self, versions: DataFrame, m: Measure = DEFAULT) -> None:
         t = versions.filter("id is not null and text is not null").select(blocks.id_hash("id").alias("key"), "id", "src", "u", "text")
-        read = cut(_read(t, m))
+        read = stored(_read(t, m))
         size = blocks.added(read.filter("slice is not null").select(F.col("slice").alias("i"), "c"), blocks.SKETCH)
         top = read.filter("slice is null").groupBy("key", "id").agg(F.max_by(F.struct("src", "u", "digest", "ok"), F.struct("src", "u", "digest")).alias("r"))
-        sig = cut(top.filter("r.ok").select("key", "id", "r.src", "r.u", "r.digest"))
+        sig = stored(top.filter("r.ok").select("key", "id", "r.src", "r.u", "r.digest"))
         rep = sig.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("x"), F.count("*").alias("c")).select("digest", F.col("x.key").alias("rep"), F.col("x.id").alias("rep_id"), "c")
-        self.copies = cut(sig.join(rep, "digest").select("key", "id", "src", "u", "rep", "rep_id", "c"))
+        self.copies = stored(sig.join(rep, "digest").select("key", "id", "src", "u", "rep", "rep_id", "c"))
         chosen = self.copies.filter("key = rep").select("key", F.col("src").alias("s"), F.col("u").alias("v"))
         # the text of each representative, once, placed by key for both the postings and the verification
         placed = t.select("key", "src", "u", "text").repartition("key")

@@ -101,17 +101,12 @@ def _postings(vectors: DataFrame, versions: DataFrame, n: int) -> DataFrame:
             key = c.ravel()
             idx, cell, side = blocks.spread(key, row[at], size[slot(key)])
             out = np.empty(len(idx), _POST)
-            out["cell"], out["row"], out["side"], out["q"] = _short(cell), row[at[idx]], side, q[at[idx]]
+            out["cell"], out["row"], out["side"], out["q"] = blocks.short(cell), row[at[idx]], side, q[at[idx]]
             yield blocks.pack(cell, out, parts)
 
     return blocks.by_part(vectors.select("key", "vector").mapInArrow(post, "part INT, rows BINARY"))
 
 
-def _short(cell: np.ndarray) -> np.ndarray:
-    """32 bits of a cell; cells that fall together only bring more vectors together."""
-    return (blocks.mix(cell) >> np.uint64(32)).astype(np.uint32)
-
-
 def _labels(v: np.ndarray, side: np.ndarray, least: float) -> np.ndarray:
     """Of each row of a cell the least row that it hangs together with by similar pairs; -1 without any."""
     n = len(v)
