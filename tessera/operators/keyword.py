@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import VOCAB_SIZE, term_frequencies, token_index, tokens
 from tessera.operators.search import top_k
+from tessera.session import stored
 
 #: The usual constants of Okapi BM25 with a floor for negative weights.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -41,12 +42,16 @@ def okapi(docs: DataFrame, queries: DataFrame, k: int = 50, *, id_col: str = "id
     tf = tf.groupBy("id", "pos", "dl", "token").agg(F.count("*").alias("tf"))
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     hit = tf.join(wanted, "token").crossJoin(size).groupBy("query_id", "id", "pos").agg(_rounded(F.sum(part), digits).alias("score"))
-    # queries with fewer than k positive hits are filled with documents at 0
-    short = queries.select("query_id").distinct().join(hit.filter("score > 0").groupBy("query_id").agg(F.count("*").alias("m")).filter(F.col("m") >= k), "query_id", "left_anti")
-    rest = d.filter(F.lit(True)).select("id", "pos").crossJoin(short).join(hit.select("query_id", "id"), ["query_id", "id"], "left_anti")
-    live = size.filter("avgdl > 0").select("n")
-    allrows = hit.unionByName(rest.crossJoin(live).select("query_id", "id", "pos", F.lit(0.0).alias("score")))
-    return top_k(allrows, k, tie="pos")
+    # queries with fewer than k positive hits are filled with documents at 0; the first k + matched documents suffice
+    hit = stored(hit)
+    per = hit.groupBy("query_id").agg(F.count("*").alias("c"), F.count_if(F.col("score") > 0).alias("up"))
+    short = stored(queries.select("query_id").distinct().join(per, "query_id", "left").filter(F.coalesce("up", F.lit(0)) < k))
+    reach = short.agg(F.max(F.coalesce("c", F.lit(0)))).first()[0]
+    if reach is None:
+        return top_k(hit, k, tie="pos")
+    first = d.select("id", "pos").orderBy("pos").limit(k + reach).crossJoin(size.filter("avgdl > 0").select("n"))  # one row, none without tokens
+    rest = first.crossJoin(short.select("query_id")).join(hit.select("query_id", "id"), ["query_id", "id"], "left_anti")
+    return top_k(hit.unionByName(rest.select("query_id", "id", "pos", F.lit(0.0).alias("score"))), k, tie="pos")
 
 
 def sparse_idf(docs: DataFrame, queries: DataFrame, k: int = 50, *, id_col: str = "id", text_col: str = "text", where: Column | None = None, vocab_size: int = VOCAB_SIZE, digits: int | None = None) -> DataFrame:

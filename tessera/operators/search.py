@@ -32,13 +32,14 @@ def _scores(name: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def knn(
     records: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine", *, id_col: str = "id",
-    vector_col: str = "vector", digits: int | None = None, block: int = 1024,
+    vector_col: str = "vector", digits: int | None = None, block: int = 1024, most: int = 100_000,
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: the k best records of each query.
 
     queries: ``query_id BIGINT, vector``. Rows without a vector of the queries' length, or with null or NaN in it,
     are no candidates; queries without a vector give no row. Ties go by smaller id. ``digits`` rounds scores before
-    ranking. A zero vector has cosine 0.
+    ranking. A zero vector has cosine 0. More than ``most`` queries are an error: they are to be asked in batches, since
+    the whole set passes through the driver.
     """
     if metric not in HIGHER_IS_BETTER:
         raise ValueError(f"Unknown distance: {metric!r}; use one of {sorted(HIGHER_IS_BETTER)}")
@@ -46,7 +47,9 @@ def knn(
         raise ValueError("k must be positive")
     up = HIGHER_IS_BETTER[metric]
     id_type = records.schema[id_col].dataType.simpleString()
-    qs = [(r[0], r[1]) for r in queries.select("query_id", "vector").toLocalIterator() if r[1] and not any(x is None or x != x for x in r[1])]
+    qs = [(r[0], r[1]) for r in queries.select("query_id", "vector").limit(most + 1).toLocalIterator() if r[1] and not any(x is None or x != x for x in r[1])]
+    if len(qs) > most:
+        raise ValueError(f"{len(qs)} queries at once; ask at most {most}")
     schema = f"query_id BIGINT, id {id_type}, score DOUBLE"
     parts = []
     for s in range(0, len(qs), block):
@@ -99,6 +102,6 @@ def top_k(scored: DataFrame, k: int, higher_is_better: bool = True, tie: str = "
 def knn_expression(records: DataFrame, queries: DataFrame, k: int, metric: str, digits: int | None = None) -> DataFrame:
     """The same result from column expressions only; for small collections and for reading."""
     s = measure(metric, F.col("v"), F.col("q"))
-    j = records.select("id", F.col("vector").alias("v")).join(F.broadcast(queries.select("query_id", F.col("vector").alias("q"))))
+    j = records.select("id", F.col("vector").alias("v")).crossJoin(queries.select("query_id", F.col("vector").alias("q")))  # a stated query set
     j = j.select("query_id", "id", (s if digits is None else F.round(s, digits)).alias("score")).filter("score is not null")
     return top_k(j, k, HIGHER_IS_BETTER[metric])
