@@ -20,11 +20,13 @@ from tessera.llm import blocks
 from tessera.llm.shingles import Hasher, runs, words
 from tessera.session import table
 
-#: Words of an item's passage (the least run that counts), of a corpus passage and its step; features, rank, passes.
-RUN, WINDOW, STEP = 10, 20, 10
+#: Words of an item's passage (the least run that counts), of a corpus passage and its step; the same for the fit of the space.
+RUN, WINDOW, STEP = 10, 14, 5
+FIT_WINDOW, FIT_STEP = 20, 10
+#: Features, rank and passes of the latent space.
 FEATURES, RANK, PASSES = 1 << 14, 128, 2
 #: Least latent cosine of a candidate; least share of a paraphrase's words in order.
-COSINE, IN_ORDER = 0.6, 0.6
+COSINE, IN_ORDER = 0.5, 0.6
 #: Most bytes of the items that may travel to the tasks; larger sets are searched in several rounds.
 ITEM_BYTES = 64 << 20
 
@@ -99,10 +101,10 @@ def _corpus_gram(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndar
                 rows, cols, off = [], [], 0
                 k = 0
                 for x in part:
-                    s = _windows(len(x), WINDOW, STEP)
-                    i = np.minimum(s[:, None] + np.arange(WINDOW), len(x) - 1)
-                    ok = s[:, None] + np.arange(WINDOW) < len(x)
-                    rows.append(np.repeat(np.arange(k, k + len(s)), WINDOW)[ok.ravel()])
+                    s = _windows(len(x), FIT_WINDOW, FIT_STEP)
+                    i = np.minimum(s[:, None] + np.arange(FIT_WINDOW), len(x) - 1)
+                    ok = s[:, None] + np.arange(FIT_WINDOW) < len(x)
+                    rows.append(np.repeat(np.arange(k, k + len(s)), FIT_WINDOW)[ok.ravel()])
                     cols.append(inv[off + i.ravel()[ok.ravel()]])
                     k += len(s)
                     off += len(x)
