@@ -101,7 +101,7 @@ def texts(spark, rows):
 def test_near_duplicates_edge_cases(spark):
     base = " ".join(f"w{i}" for i in range(60))
     edited = base.replace("w30", "new")
-    rows = [("a", 1, base), ("b", 1, base.upper()), ("c", 0, edited), ("c", 0, edited), ("d", 1, "too short"), ("e", 1, None), ("f", 1, ""), ("g", 0, base), ("g", 1, " ".join(f"v{i}" for i in range(40))), (None, 1, base), ("long", 1, base * 400)]
+    rows = [("a", 1, base), ("b", 1, base.upper()), ("c", 0, edited), ("c", 0, edited), ("d", 1, "too short"), ("e", 1, None), ("f", 1, ""), ("g", 0, base), ("g", 1, " ".join(f"v{i}" for i in range(40))), (None, 1, base), ("long", 1, " ".join(f"z{i}" for i in range(20_000)))]
     v = texts(spark, [(*r, "x") for r in rows])
     nd = neardup.NearDuplicates(v, neardup.FOUND)
     assert {tuple(r) for r in neardup.id_pairs(nd).collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
@@ -146,6 +146,7 @@ def test_leaks_edge_cases(spark):
     w = item.split()
     filler = "nothing to see here at all in this one " * 3
     rows = [(1, item), (2, filler + " ".join(w[3:13]) + " " + filler), (3, filler + " ".join(w[3:12]) + " " + filler), (4, None), (5, ""), (6, item.upper()), (6, item.upper()), (7, " ".join([*w[:6], "quietly", *w[6:12], "now", *w[12:]]))]
+    rows += [(100 + i, filler + f"more {i} words about the cache and the second of the entries at all after measures") for i in range(80)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id BIGINT, text STRING, item_id STRING")
     items = spark.createDataFrame([(9, item), (8, None), (7, "short item")], "item_id BIGINT, text STRING")
     got = {(r["doc_id"], r["item_id"], r["kind"]) for r in leakage.leaks(docs, items).collect()}
