@@ -35,7 +35,7 @@ TAG = re.compile(rf"</?(?:{_NAME})(?:{_ATTR})*\s*/?>", re.I)
 BROKEN_TAG = re.compile(
     rf"<(?:{_NAME})(?:\s+[a-zA-Z_:][-\w:.]*\s*=\s*(?:\"[^\"\n]*\"?|'[^'\n]*'?|[^\s\"'<>`]+))+(?=\s|$)"  # an open tag that never closes
     rf"|</(?:{_NAME})(?=\s|$)"  # an end tag that never closes
-    rf"|(?<![<\w:/.])/(?:{_NAME})>",  # an end tag without its first sign
+    rf"|(?<![<\w:/])/(?:{_NAME})>",  # an end tag without its first sign
     re.I | re.M,
 )
 COMMENT = re.compile(r"<!--.*?(?:-->|$)|<!doctype[^>]*>|<\?xml.*?\?>|<!\[CDATA\[|(?<!-)-->", re.S | re.I)
