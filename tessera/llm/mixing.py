@@ -45,7 +45,7 @@ def plain_source(col: str) -> Column:
 
 
 def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """``source, h, doc_id, tokens, n``; documents without tokens are left out."""
+    """The documents with ``tokens`` and their number ``n`` in place of ``text``; those without tokens are left out."""
 
     @F.pandas_udf("array<int>")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -53,8 +53,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
         for s in parts:
             yield pd.Series([np.asarray(e.encode_ordinary(t), np.int32) for t in s.fillna("")], dtype=object)
 
-    t = docs.select(plain_source("source").alias("source"), "doc_id", F.xxhash64("doc_id", F.lit(SEED)).alias("h"), encode("text").alias("tokens"))
-    return t.withColumn("n", F.size("tokens").cast("bigint")).filter("source is not null and n > 0")
+    return docs.withColumn("tokens", encode("text")).drop("text").withColumn("n", F.size("tokens").cast("bigint")).filter("n > 0")
 
 
 def source_blocks(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = BLOCK) -> DataFrame:
@@ -63,8 +62,10 @@ def source_blocks(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = B
     Offsets are counted over range partitions and shifted by the partitions before, so a source of any size is never
     in one task. Documents with equal keys follow each other by text order of their tokens.
     """
-    t = tokenized(docs, vocabulary)
-    placed = cut(t.repartitionByRange("source", "h", "doc_id").withColumn("part", F.spark_partition_id()).withColumn("u", F.monotonically_increasing_id()))
+    d = docs.select(plain_source("source").alias("source"), "doc_id", F.xxhash64("doc_id", F.lit(SEED)).alias("h"), "text").filter("source is not null and text <> ''")
+    # placed before they are tokenized: the bounds of the ranges are found on the plain documents
+    ranged = d.repartitionByRange("source", "h", "doc_id").withColumn("part", F.spark_partition_id()).withColumn("u", F.monotonically_increasing_id())
+    placed = cut(tokenized(ranged, vocabulary))
     totals = placed.groupBy("source", "part").agg(F.sum("n").alias("own"))
     before = totals.select("source", "part", (F.sum("own").over(Window.partitionBy("source").orderBy("part")) - F.col("own")).alias("before"))
     run = F.sum("n").over(Window.partitionBy("source", "part").orderBy("h", "doc_id", "u")) - F.col("n")
