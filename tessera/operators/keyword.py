@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import VOCAB_SIZE, term_frequencies, token_index, tokens
+from tessera.functions.text import TOKEN_PATTERN, VOCAB_SIZE, term_frequencies, token_index, tokens
 from tessera.operators.search import top_k
 from tessera.session import stored
 
@@ -61,7 +61,7 @@ def sparse_idf(docs: DataFrame, queries: DataFrame, k: int = 50, *, id_col: str
     restricts the candidates, not the statistics. Only documents sharing a term appear; ties by smaller id.
     """
     tf = term_frequencies(docs, id_col, text_col, vocab_size)
-    n = tf.agg(F.count_distinct("id").alias("n"))
+    n = docs.filter(F.coalesce(F.lower(text_col), F.lit("")).rlike(TOKEN_PATTERN)).agg(F.count_distinct(id_col).alias("n"))
     q = queries.select("query_id", "text")
     qtf = term_frequencies(q, "query_id", "text", vocab_size).select(F.col("id").alias("query_id"), "idx", F.col("tf").alias("qtf"))
     used = tf.join(qtf.select("idx").distinct(), "idx", "left_semi")
