@@ -6,6 +6,9 @@ Only the far end of an array tells vectors apart, so a vector enters the arrays
 an array where both entered it; vectors below the threshold of two collisions never meet, since the postings are keyed by
 pairs of arrays. Vectors that meet are weighed on 4-bit copies; those that may be similar are verified in full.
 
+Without a least cosine no window can be told to be wide enough, so every vector is compared with all others, a broadcast chunk
+of them at a time: exact, and quadratic.
+
 Exact copies are collapsed beforehand: one of them takes part, the others share its neighbours.
 """
 
@@ -15,16 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import blocks
-from tessera.session import cut, table
+from tessera.session import cut, stored, table
 
 DIM, ENDS = 64, 6
 #: Neighbours per vector, least cosine of a pair, and what the 4-bit copies may be off by.
 K, LEAST, SLACK = 5, 0.9, 0.07
 CROWD = 20
+#: Vectors of a broadcast chunk, rows and columns of a tile, columns of the first guess, and what single precision and the
+#: rounding of cosines may be off by.
+CHUNK, ROWS, COLUMNS, GUESS, OFF = 131_072, 512, 2048, 4096, 1e-5
 _POST = np.dtype([("cell", "<u4"), ("row", "<i8"), ("side", "u1"), ("q", "u1", (DIM // 2,))])
 
 
@@ -34,15 +43,15 @@ def usable(v: str):
     return c.isNotNull() & (F.size(c) == DIM) & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e300)) & F.exists(c, lambda x: x != 0)
 
 
-def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_vectors(spark: SparkSession, sf_dir: str, kind: str = "array<float>") -> DataFrame:
     """``key, id, o, vector``: all versions of all stored rows; the live one has the greatest ``o``."""
     s = table(spark, sf_dir, "stored_records").filter("id is not null")
-    return s.select("id", F.struct(F.lit(1).alias("s"), F.col("updated_at").alias("u")).alias("o"), F.col("vector").cast("array<float>").alias("vector"))
+    return s.select("id", F.struct(F.lit(1).alias("s"), F.col("updated_at").alias("u")).alias("o"), F.col("vector").cast(kind).alias("vector"))
 
 
-def response_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def response_vectors(spark: SparkSession, sf_dir: str, kind: str = "array<float>") -> DataFrame:
     r = table(spark, sf_dir, "embed_responses").select(F.explode(F.arrays_zip("ids", "vectors")).alias("x"))
-    r = r.select(F.col("x.ids").alias("id"), F.struct(F.lit(0).alias("s"), F.lit(None).cast("timestamp_ntz").alias("u")).alias("o"), F.col("x.vectors").cast("array<float>").alias("vector"))
+    r = r.select(F.col("x.ids").alias("id"), F.struct(F.lit(0).alias("s"), F.lit(None).cast("timestamp_ntz").alias("u")).alias("o"), F.col("x.vectors").cast(kind).alias("vector"))
     return r.filter("id is not null")
 
 
@@ -264,26 +273,142 @@ class Collection:
         self.vectors = vec.join(self.copies.filter("key <> rep").select("key"), "key", "left_anti") if self.any_copies else vec
 
 
-def neighbours(versions: DataFrame, k: int = K, least: float = LEAST) -> DataFrame:
-    """``id, rank, other, cosine``: of each vector its k most similar others with at least that cosine; ties by smaller id.
+def _unit(col: pa.ChunkedArray) -> np.ndarray:
+    v = np.asarray(col.combine_chunks().flatten(), dtype=np.float64).reshape(-1, DIM)
+    v = v / np.abs(v).max(1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1)[:, None]
 
-    Rows without a usable vector take no part; no vectors give no rows. Cosines are rounded to 6 decimals.
-    """
-    c = Collection(versions)
-    near = _verified(suspects(c, least), c.vectors, _nearest(k, least), "id STRING, other STRING, cosine DOUBLE").distinct()
-    if c.any_copies:
-        # ids stand for their class: the k + 1 least ids of a class are all that can be among k neighbours
-        m = c.copies.select(F.col("id"), F.col("rep").alias("class")).distinct()
-        name = c.copies.filter("key = rep").select(F.col("id").alias("name"), F.col("rep").alias("class")).distinct()
-        m = m.join(name, "class").select("name", "id")
-        few = m.withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy("id"))).filter(F.col("n") <= k + 1).select(F.col("name").alias("other"), F.col("id").alias("member"))
-        own = name.select(F.col("name").alias("id"), F.col("name").alias("other"), F.lit(1.0).alias("cosine"))
+
+def _chunks(vectors: DataFrame) -> list[Broadcast]:
+    """All rows of ``id, vector`` as broadcasts of about ``CHUNK`` rows; the driver holds one of them at a time."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                to = pa.BufferOutputStream()
+                pq.write_table(pa.Table.from_batches([b]), to, compression="zstd")
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32()), pa.array([to.getvalue().to_pybytes()], pa.binary())], names=["n", "rows"])
+
+    out, held, n = [], [], 0
+    for r in vectors.select("id", "vector").mapInArrow(pack, "n INT, rows BINARY").toLocalIterator():
+        if held and n + r["n"] > CHUNK:
+            out.append(vectors.sparkSession.sparkContext.broadcast(held))
+            held, n = [], 0
+        held.append(bytes(r["rows"]))
+        n += r["n"]
+    return [*out, vectors.sparkSession.sparkContext.broadcast(held)] if held else out
+
+
+def _loaded(chunk: Broadcast) -> tuple[pa.Array, np.ndarray]:
+    """Ids of a chunk in order, and their vectors. Nothing of it stays in the worker."""
+    t = pa.concat_tables([pq.read_table(pa.BufferReader(x)) for x in chunk.value])
+    vars(chunk).pop("_value", None)
+    t = t.take(pc.sort_indices(t["id"]))
+    return t["id"].combine_chunks(), _unit(t["vector"])
+
+
+def _first(r: np.ndarray, j: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each row by cosine and position, and their ranks."""
+    o = np.lexsort((j, -c, r))
+    r, j, c = r[o], j[o], c[o]
+    rank = np.arange(len(r)) - np.searchsorted(r, r)
+    ok = rank < k
+    return r[ok], j[ok], c[ok], rank[ok]
+
+
+def _best(x: np.ndarray, y: np.ndarray, y4: np.ndarray, own: np.ndarray, kth: np.ndarray, k: int):
+    """The k best rows of y for each of x, as far as they reach its ``kth`` cosine so far; ``own``: a vector's own row."""
+    x4, least = x.astype(np.float32), kth - OFF
+    if kth.min() < -1 and len(y4) > GUESS > k:
+        # the next after k of some rows, as one may be its own: no more than its k-th of all
+        some = x4 @ y4[:: len(y4) // GUESS][:GUESS].T
+        least = np.maximum(least, -np.partition(-some, k, axis=1)[:, k] - OFF)
+    r, j, c = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    fresh, rank = 0, r
+    for s in range(0, len(y4), COLUMNS):
+        part = y4[s : s + COLUMNS]
+        hit = np.flatnonzero((x4 @ part.T >= least.astype(np.float32)[:, None]).ravel())
+        for t in range(0, len(hit), 1 << 17):
+            a, b = np.divmod(hit[t : t + (1 << 17)], len(part))
+            b += s
+            ok = own[a] != b
+            a, b = a[ok], b[ok]
+            r, j, c = np.append(r, a), np.append(j, b), np.append(c, np.round(np.einsum("ij,ij->i", x[a], y[b]), 6))
+            fresh += len(a)
+            if fresh > 2 * k * len(x):
+                r, j, c, rank = _first(r, j, c, k)
+                full = rank == k - 1
+                least[r[full]] = np.maximum(least[r[full]], c[full] - OFF)
+                fresh = 0
+    return _first(r, j, c, k)
+
+
+def _searched(chunks: list[Broadcast], k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        names, x = t["id"].combine_chunks(), _unit(t["vector"])
+        top = np.full((len(x), k), -2.0)  # the k best cosines so far, the least first
+        found = []
+        for chunk in chunks:
+            ids, y = _loaded(chunk)
+            y4 = y.astype(np.float32)
+            own = pc.fill_null(pc.index_in(names, value_set=ids), -1).to_numpy(zero_copy_only=False)
+            for s in range(0, len(x), ROWS):
+                r, j, c, rank = _best(x[s : s + ROWS], y, y4, own[s : s + ROWS], top[s : s + ROWS, 0], k)
+                new = np.full((len(top[s : s + ROWS]), k), -2.0)
+                new[r, rank] = c
+                top[s : s + ROWS] = np.sort(np.concatenate([top[s : s + ROWS], new], axis=1), axis=1)[:, -k:]
+                ok = c >= top[s + r, 0]  # equal ones stay until all chunks are seen: the smaller id may come later
+                found.append((s + r[ok], ids.take(pa.array(j[ok])), c[ok]))
+        for r, other, c in found:
+            ok = c >= top[r, 0]
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(r[ok])), other.filter(pa.array(ok)), pa.array(c[ok])], names=["id", "other", "cosine"])
+
+    return run
+
+
+def _compared_with_all(versions: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
+    """``id, other, cosine`` of distinct vectors under the least id of each, and ``name, id`` of all members of classes of equal ones."""
+    v = versions.withColumn("ok", usable("vector")).withColumn("h", F.xxhash64("vector"))
+    one = stored(live(v, ["vector", "ok", "h"]).filter("ok").groupBy("key", "id").agg(F.first("h").alias("h"), F.first("vector").alias("vector")))
+    same = one.groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("name")).filter("c > 1")
+    copies = cut(one.select("id", "h").join(same, "h").select("name", "id"))
+    distinct = stored(one.groupBy("h").agg(F.min("id").alias("id"), F.first("vector").alias("vector")).select("id", "vector"))
+    parts = max(1, min(blocks.parts_of(one), one.count() // ROWS))
+    near = distinct.repartition(parts, "id").mapInArrow(_searched(_chunks(distinct), k), "id STRING, other STRING, cosine DOUBLE")
+    return near, None if copies.isEmpty() else copies
+
+
+def _ranked(near: DataFrame, copies: DataFrame | None, k: int) -> DataFrame:
+    """The k best of each id by cosine, then id; ids stand for their class, whose members are ``name, id``."""
+    if copies is not None:
+        # the k + 1 least ids of a class are all that can be among k neighbours
+        few = copies.withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy("id"))).filter(F.col("n") <= k + 1).select(F.col("name").alias("other"), F.col("id").alias("member"))
+        own = copies.select(F.col("name").alias("id"), F.col("name").alias("other"), F.lit(1.0).alias("cosine")).distinct()
         near = near.unionByName(own).join(few, "other", "left").select("id", F.coalesce("member", "other").alias("other"), "cosine")
-        near = near.join(m.select(F.col("name").alias("id"), F.col("id").alias("twin")), "id", "left").select(F.coalesce("twin", "id").alias("id"), "other", "cosine").filter("id <> other")
+        near = near.join(copies.select(F.col("name").alias("id"), F.col("id").alias("twin")), "id", "left").select(F.coalesce("twin", "id").alias("id"), "other", "cosine").filter("id <> other")
     w = Window.partitionBy("id").orderBy(F.desc("cosine"), "other")
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("id", F.col("rank").cast("bigint").alias("rank"), "other", "cosine")
 
 
+def neighbours(versions: DataFrame, k: int = K, least: float | None = LEAST) -> DataFrame:
+    """``id, rank, other, cosine``: of each vector its k most similar others, ties by smaller id.
+
+    With ``least`` only those with at least that cosine, from the index; without it all k of every vector, exactly. Rows without
+    a usable vector take no part; no vectors give no rows. Cosines are rounded to 6 decimals.
+    """
+    if least is None:
+        return _ranked(*_compared_with_all(versions, k), k)
+    c = Collection(versions)
+    near = _verified(suspects(c, least), c.vectors, _nearest(k, least), "id STRING, other STRING, cosine DOUBLE").distinct()
+    name = c.copies.filter("key = rep").select(F.col("id").alias("name"), "rep").distinct()
+    return _ranked(near, c.copies.select("id", "rep").distinct().join(name, "rep").select("name", "id") if c.any_copies else None, k)
+
+
 def crowd_members(versions: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
     """``id`` of the vectors with at least k other ids at that cosine. Counts stop at k, so crowds of any size cost no more."""
     c = Collection(versions)
@@ -309,7 +434,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours(stored_vectors(spark, sf_dir).unionByName(response_vectors(spark, sf_dir)))
+    v = stored_vectors(spark, sf_dir, "array<double>").unionByName(response_vectors(spark, sf_dir, "array<double>"))
+    return neighbours(v, least=None)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

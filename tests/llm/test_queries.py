@@ -55,6 +55,13 @@ def test_similar_vectors(spark, sf_dir, con):
     assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.95 * len(want)
 
 
+def test_all_neighbours(spark, sf_dir, con):
+    ids, c = live_vectors(con, True)
+    want = {(ids[i], r + 1, ids[j], c[i, j]) for i in range(len(ids)) for r, j in enumerate(np.argsort(-c[i], kind="stable")[:5])}
+    got = {tuple(r) for r in registry.QUERIES["p1_neighbours"](spark, sf_dir).collect()}
+    assert len(got) == 5 * len(ids) and got == want
+
+
 def test_crowds(spark, sf_dir, con):
     ids, c = live_vectors(con, False)
     want = {ids[i] for i in np.flatnonzero((c >= 0.9).sum(1) >= 20)}

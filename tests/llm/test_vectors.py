@@ -39,6 +39,28 @@ def test_neighbours_copies_ties_and_unusable(spark):
     assert crowd == {a for a in x if sum(round(float(x[a] @ x[b]), 6) >= V.LEAST for b in x if b != a) >= V.CROWD}
 
 
+def test_all_neighbours_without_a_least_cosine(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(4, 64))
+    good = [(f"n{i:03d}", np.round(rng.normal(size=64) + base[i % 4] * (i % 3), 4)) for i in range(300)]
+    good += [(f"{'za'[i % 2]}{i:02d}", base[0]) for i in range(12)] + [(f"t{i}", base[1] * (i + 1)) for i in range(9)]  # copies and ties
+    good += [("huge", base[2] * 1e200), ("tiny", base[3] * 1e-200)]
+    for chunk, columns, guess in ((131_072, 2048, 4096), (70, 16, 20)):
+        monkeypatch.setattr(V, "CHUNK", chunk)
+        monkeypatch.setattr(V, "COLUMNS", columns)
+        monkeypatch.setattr(V, "GUESS", guess)
+        df = spark.createDataFrame([(i, 1, v.tolist(), "e") for i, v in good + [("x", np.zeros(64)), ("y", np.ones(3))]], SCHEMA).repartition(7)
+        df = df.select("id", F.struct(F.lit(1).alias("s"), F.col("u").alias("u")).alias("o"), "vector")
+        with_batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+        got = [(r["id"], r["other"]) for r in V.neighbours(df, least=None).collect()]
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_batches)
+        scaled = [(i, v / np.abs(v).max()) for i, v in good]
+        assert len(got) == 5 * len(good) and set(got) == brute(scaled, least=-2)
+    assert V.neighbours(df.filter("false"), least=None).count() == V.neighbours(df.filter("id = 'n000'"), least=None).count() == 0
+    assert [(r["id"], r["other"]) for r in V.neighbours(df.filter("id in ('n000', 'n001')"), least=None).orderBy("id").collect()] == [("n000", "n001"), ("n001", "n000")]
+
+
 def test_empty_and_single(spark):
     assert V.neighbours(versions(spark, [])).count() == 0
     assert V.neighbours(versions(spark, [("a", 1, np.ones(64))])).count() == 0
