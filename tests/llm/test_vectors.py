@@ -61,6 +61,21 @@ def test_all_neighbours_without_a_least_cosine(spark, monkeypatch):
     assert [(r["id"], r["other"]) for r in V.neighbours(df.filter("id in ('n000', 'n001')"), least=None).orderBy("id").collect()] == [("n000", "n001"), ("n001", "n000")]
 
 
+def test_coarse_copies_lose_no_pair():
+    # one dominant coordinate makes the copies coarse
+    rng = np.random.default_rng(8)
+    for times in (1, 10, 14, 40):
+        a = rng.normal(size=(2000, 64))
+        a[:, 0] *= times
+        b = a + rng.normal(size=a.shape) * np.linalg.norm(a, axis=1)[:, None] * rng.uniform(0, 0.08, (2000, 1))
+        u = np.concatenate([a, b]).astype(np.float32)
+        u /= np.linalg.norm(u, axis=1)[:, None]
+        q = V._four_bits(u)
+        left, right = V._sides(V._from_four_bits(q), V._angles(u, q), V.LEAST)
+        similar = np.einsum("ij,ij->i", u[:2000], u[2000:]) >= V.LEAST
+        assert similar.sum() > 500 and (np.einsum("ij,ij->i", left[:2000], right[2000:]) >= -1e-5)[similar].all()
+
+
 def test_empty_and_single(spark):
     assert V.neighbours(versions(spark, [])).count() == 0
     assert V.neighbours(versions(spark, [("a", 1, np.ones(64))])).count() == 0
