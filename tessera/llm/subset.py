@@ -19,7 +19,8 @@ from tessera.session import cut, table
 
 #: Production parameters: records to choose, random planes that cut the space into regions.
 SIZE, PLANES = 1000, 5
-#: Most categories of a kind; further ones are hashed together.
+#: Collections that are categories of their own, or as many as records are chosen if that is more. Further ones share a
+#: category: so many records cannot show more collections anyway.
 KINDS = 256
 _STEPS = 8
 
@@ -116,7 +117,7 @@ def varied_subset(records: DataFrame, size: int = SIZE) -> DataFrame:
     best = r.groupBy("group").agg(F.max(F.struct(F.coalesce("score", F.lit(float("-inf"))).alias("s"), F.lit(0).alias("z"))).alias("m"))
     lead = r.join(best, "group").filter(F.coalesce("score", F.lit(float("-inf"))) == F.col("m.s")).groupBy("group").agg(F.min("id").alias("lead"))
     r = r.join(lead, "group").select("id", "region", "kind", "score", (F.col("id") != F.col("lead")).cast("int").alias("later"))
-    names = [x["kind"] for x in r.groupBy("kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind").limit(KINDS).collect()]
+    names = [x["kind"] for x in r.groupBy("kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind").limit(max(KINDS, size)).collect()]
     known = F.when(F.col("kind").isin(names), F.col("kind")).otherwise(F.lit("other")) if names else F.col("kind")
     r = r.withColumn("kind", known)
     counts = {(x["region"], x["kind"], x["later"]): x["n"] for x in r.groupBy("region", "kind", "later").agg(F.count("*").alias("n")).collect()}

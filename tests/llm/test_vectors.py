@@ -133,3 +133,12 @@ def test_varied_subset(spark):
     assert len(got) == len(set(got)) == 30 and sum(i.startswith("crowd") for i in got) <= 1
     assert {i for i in got if i.startswith("crowd")} <= {"crowd119"}
     assert subset.varied_subset(df, 10_000).count() == 160 and subset.varied_subset(df.filter("false"), 5).count() == 0
+
+
+def test_subset_of_many_small_collections(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"r{i:03d}", rng.normal(size=64).tolist(), f"c{i % 300:03d}", 0.5) for i in range(600)]
+    df = spark.createDataFrame(rows, "id STRING, vector ARRAY<DOUBLE>, collection STRING, score DOUBLE")
+    df = df.select("id", F.struct(F.lit(1).alias("s"), F.lit(1).alias("u")).alias("o"), F.col("vector").cast("array<float>").alias("vector"), "collection", "score")
+    got = {r["id"] for r in subset.varied_subset(df, 300).collect()}
+    assert len(got) == 300 and len({int(i[1:]) % 300 for i in got}) == 300
