@@ -55,7 +55,7 @@ WIKI = [
 
 _BRACES = r"\{(?:[^{}]|\{[^{}]*\})*\}"
 MATH_BLOCK = re.compile(r"\$\$(?=\S)[^$]+?\$\$|\\\[(?!\s*\])(?:(?!\\\]).)+\\\]", re.S)
-MATH_INLINE = re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]{0,200}?[^\s$\\]|[^\s$\\])\$(?![\d$])|\\\((.+?)\\\)")
+MATH_INLINE = re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*(?<=[^\s$\\]))\$(?![\d$])|\\\((.+?)\\\)")
 TEX_COMMAND = re.compile(rf"\\[a-zA-Z]+\*?(?:\[[^\]\n]*\])?{_BRACES}|\\(?:begin|end)\s*\{{")
 TEX_SIGN = re.compile(r"\\[a-zA-Z]+|[\^_=<>+]|^[a-zA-Z]$|\w\(|\d\s*[*/]\s*[a-zA-Z]")
 

@@ -55,6 +55,13 @@ def test_markup_kinds():
         assert markup.scan(t) == want, t
 
 
+def test_long_formula():
+    body = "x_0 = " + " + ".join(f"a_{i} y" for i in range(80))
+    assert len(body) > 500 and markup.scan(f"Take ${body}$ here.") == ["latex"]
+    assert f"${body}$" in markup.clean(f"Take ${body}$ and <b>it</b>.")
+    assert markup.scan("It cost $5, " + "then as said " * 40 + "it was $7 in all.") == []
+
+
 PLAIN = [
     "The price rose from $1 to $5 per seat.", "Costs $2, later $7.", "Use it only if a < b and c > d holds.", "Temperatures <3 or >32 degrees.", "Copy it to C:\\temp\\new\\logs first.", "The area is 7 * 3 * 6 units.",
     "See ticket #87 and note [5].", "Press Ctrl + [ or ] to move.", "If x == 3 then y != 8.", "Set {a, b} as the pair.", "R&D and Q&A share one inbox.", "The file is named long_field_name_v3.", "\\\\depot\\share is gone; it's the crew's, isn't it.", "", "   ", None,
