@@ -153,8 +153,8 @@ class Index:
         self.top_block, tf = b[edge].astype(np.int32), f[edge]
         self.slots, first = np.unique(tf, return_index=True)
         self.first, self.last = first, np.append(first[1:], len(tf)).astype(np.int64)
-        # examples of which a share is bad: the features that they have at all, and their number
-        self.suspect = np.flatnonzero(self.bad >= 0.3 * np.maximum(self.count, 1e-9))
+        # examples of which any share is bad: the features that they have at all, and their number
+        self.suspect = np.flatnonzero(self.bad > 0)
         m = self.start[self.suspect + 1] - self.start[self.suspect] if self.n else np.zeros(0, np.int64)
         self.suspect_off = np.concatenate([[0], np.cumsum(m)[:-1]]).astype(np.int64) if len(m) else np.zeros(0, np.int64)
         k = np.repeat(self.start[self.suspect] - self.suspect_off, m) + np.arange(m.sum()) if len(m) else np.zeros(0, np.int64)
@@ -170,7 +170,7 @@ class Index:
         """The nearest examples (index, cosine) with at least ``NEAR``, without the one to skip.
 
         Exact: blocks are opened by falling bound until none can hold a nearer one. With ``only_bad`` nothing is returned
-        where no example with a share of bad is a neighbour, as the vote then is next to nothing.
+        where no example with any share of bad is a neighbour, as the vote then is the prior.
         """
         none = np.zeros(0, np.int64), np.zeros(0, np.float32)
         if self._dense is None:

@@ -101,6 +101,15 @@ def test_index_is_exact():
         assert np.allclose(np.sort(c)[::-1], s[s >= abuse.NEAR], atol=1e-5)
 
 
+def test_low_shares_of_bad_are_voted_on():
+    f = np.arange(4)
+    w = np.full(4, 0.5, np.float32)
+    ix = abuse.Index([(f, w), (f + 10, w)], np.array([1.0, 0.0]), np.array([5.0, 1.0]))
+    j, c = ix.near(f, w)
+    assert 0.15 < abuse.vote(ix.bad[j], ix.count[j], c) < 0.2
+    assert not len(ix.near(f + 10, w)[0])
+
+
 def test_scores(spark):
     good = "Please tell the {0} in {1} which {2} copies the mapping today"
     bad = "You {0} fool nobody in {1} wants your stupid face around"
