@@ -2,7 +2,7 @@
 
 Collision counting over single-projection arrays: random directions give arrays of the vectors sorted by projection.
 Only the far end of an array tells vectors apart, so a vector enters the arrays in which its projection is among its own
-``ENDS`` largest; this window is centred on the vector and as wide as its own projections demand. Two vectors collide in
+``ENDS`` largest: fixed buckets in place of windows that expand round by round. Two vectors collide in
 an array where both entered it; vectors below the threshold of two collisions never meet, since the postings are keyed by
 pairs of arrays. Vectors that meet are weighed on 4-bit copies; those that may be similar are verified in full.
 
