@@ -22,6 +22,7 @@ SIZE, PLANES = 1000, 5
 #: Collections that are categories of their own, or as many as records are chosen if that is more. Further ones share a
 #: category: so many records cannot show more collections anyway.
 KINDS = 256
+SALTS = 32
 _STEPS = 8
 
 
@@ -99,18 +100,20 @@ def varied_subset(records: DataFrame, size: int = SIZE) -> DataFrame:
     records: ``id, o, vector, collection, score``; the live version of an id counts, identical versions once. A null score
     ranks below all others; a null collection is a kind. Ties go by smaller id.
     """
-    c = V.Collection(records.select("id", "o", "vector"))
-    near = V.suspects(c)
-    crowd = V.crowded(c, near)
-    leader = near.groupBy("key").agg(F.min("leader").alias("leader"))
-    if c.any_copies:
-        leader = c.copies.join(leader.withColumnRenamed("key", "rep"), "rep").select("key", "leader").unionByName(leader).distinct()
+    c = V.Lists(records.select("id", "o", "vector"), V.CROWD, V.LEAST)
+    seen = V.counted(c)
+    crowd = V.crowded(c, seen)
+    # a crowd goes by the least hash in sight of its members
+    leader = seen.groupBy("h").agg(F.min("low").alias("low")).select("h", F.least("h", "low").alias("leader"))
     planes = np.random.default_rng(3).standard_normal((PLANES, V.DIM))
-    sides = [F.when(F.aggregate(F.zip_with("vector", F.array(*[F.lit(float(x)) for x in p]), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x) > 0, F.lit("1")).otherwise(F.lit("0")) for p in planes]
-    r = V.live(records.withColumn("ok", V.usable("vector")), ["vector", "collection", "score", "ok"]).filter("ok").dropDuplicates(["key", "id"])
-    r = r.select("key", "id", F.concat(*sides).alias("region"), F.coalesce("collection", F.lit("-")).alias("kind"), F.when(~F.isnan("score"), F.col("score")).alias("score"))
-    r = r.join(crowd.select("id", F.lit(True).alias("crowded")), "id", "left").join(leader, "key", "left")
-    group = F.when(F.col("crowded"), F.coalesce("leader", "key")).otherwise(F.col("key"))
+    sides = [F.when(F.aggregate(F.zip_with("vector", F.array(*[F.lit(float(x)) for x in p]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) > 0, F.lit("1")).otherwise(F.lit("0")) for p in planes]
+    r = records.withColumn("vector", F.col("vector").cast("array<double>")).withColumn("ok", V.usable("vector"))
+    r = r.withColumn("h", F.when(F.col("ok"), F.xxhash64("vector"))).withColumn("region", F.when(F.col("ok"), F.concat(*sides)))
+    r = V.live(r, ["h", "region", "collection", "score"]).filter("h is not null").dropDuplicates(["key", "id"])
+    r = r.select("h", "id", "region", F.coalesce("collection", F.lit("-")).alias("kind"), F.when(~F.isnan("score"), F.col("score")).alias("score"))
+    r = r.join(crowd.select("id", F.lit(True).alias("crowded")), "id", "left").join(leader, "h", "left")
+    # who is in no crowd stands for itself
+    group = F.when(F.col("crowded"), F.coalesce("leader", "h")).otherwise(F.xxhash64("id", F.lit(1)))
     first = F.col("score").desc_nulls_last()
     # best of a crowd first: the single best is found by partial aggregation, the rest are only marked as later ones
     r = cut(r.withColumn("group", group).select("id", "region", "kind", "score", "group"))
@@ -129,15 +132,17 @@ def varied_subset(records: DataFrame, size: int = SIZE) -> DataFrame:
         want = balanced_quotas(both, size)
     spark = records.sparkSession
     q = spark.createDataFrame([(a, b, n) for (a, b), n in want.items()], "region STRING, kind STRING, quota BIGINT")
-    w = Window.partitionBy("region", "kind").orderBy("later", first, "id")
-    few = r.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= size)  # so that each task keeps only the first of a combination
-    return few.join(F.broadcast(q), ["region", "kind"]).filter("n <= quota").select("id", "region", "kind", "score")
+    # first within salted shares of a combination, so that none is ranked in one task, then among the few that are left
+    few = r.join(F.broadcast(q), ["region", "kind"]).withColumn("salt", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(SALTS)))
+    for by in (["region", "kind", "salt"], ["region", "kind"]):
+        few = few.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("later", first, "id"))).filter("n <= quota")
+    return few.select("id", "region", "kind", "score")
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "stored_records").filter("id is not null")
     o = F.struct(F.lit(1).alias("s"), F.col("updated_at").alias("u")).alias("o")
-    return s.select("id", o, F.col("vector").cast("array<float>").alias("vector"), "collection", "score")
+    return s.select("id", o, "vector", "collection", "score")
 
 
 def p7_subset(spark: SparkSession, sf_dir: str) -> DataFrame:

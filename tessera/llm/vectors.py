@@ -1,40 +1,46 @@
-"""Most similar vectors for every vector, and crowds of almost equal vectors.
+"""Most similar vectors for every vector, and crowds of almost equal vectors, by collision counting.
 
-Collision counting over single-projection arrays: random directions give arrays of the vectors sorted by projection.
-Only the far end of an array tells vectors apart, so a vector enters the arrays in which its projection is among its own
-``ENDS`` largest: fixed buckets in place of windows that expand round by round. Two vectors collide in
-an array where both entered it; vectors below the threshold of two collisions never meet, since the postings are keyed by
-pairs of arrays. Vectors that meet are weighed on 4-bit copies; those that may be similar are verified in full.
+Lists: centroids are fitted on a bounded sample, every vector is kept in the list of its nearest centroid and asks the lists of
+its nearest centroids. How many it asks is calibrated on the sample, where all neighbours are known.
 
-Without a least cosine no window can be told to be wide enough, so every vector is compared with all others, a broadcast chunk
-of them at a time: exact, and quadratic.
+Search in a list: one sorted array per projection. A query opens a window around its own projection in each array and counts
+for every vector in how many windows it lies; those that reach the threshold are verified by their exact cosine. Windows
+start at the width that belongs to a close neighbour and are widened (virtual rehashing) until the k-th verified vector is as
+close as the width stands for. The projections are a rotation of the space, so their differences add up to the distance: a
+vector within distance d misses at most ``(d / w) ** 2`` windows of half width w. With this as the threshold no vector is lost;
+only lists that are not asked lose any.
 
-Exact copies are collapsed beforehand: one of them takes part, the others share its neighbours.
+Exact copies are collapsed beforehand: one of them takes part, the others share its neighbours. A list that is longer than
+planned is cut into blocks, so that no task holds more than a block and the queries pass by.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyspark import Broadcast
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import blocks
-from tessera.session import cut, stored, table
-
-DIM, ENDS = 64, 6
-#: Neighbours per vector, least cosine of a pair, and the unit in which postings tell a vector's angle to its 4-bit copy.
-K, LEAST, ANGLE = 5, 0.9, np.pi / 512
-CROWD = 20
-#: Vectors of a broadcast chunk, rows and columns of a tile, columns of the first guess, and what single precision and the
-#: rounding of cosines may be off by.
-CHUNK, ROWS, COLUMNS, GUESS, OFF = 131_072, 512, 2048, 4096, 1e-5
-_POST = np.dtype([("cell", "<u4"), ("row", "<i8"), ("side", "u1"), ("off", "u1"), ("q", "u1", (DIM // 2,))])
+from tessera.session import stored, table
+
+DIM = 64
+#: Neighbours per vector and least cosine of a pair; members of a crowd.
+K, LEAST, CROWD = 5, 0.9, 20
+#: Vectors of a list as planned, most lists (their centroids travel to all tasks: 4 MB), and rows of the sample: this many, or
+#: ``PER_LIST`` for each list.
+LIST, LISTS, SAMPLE, PER_LIST = 4096, 16_384, 32_768, 16
+#: Share of the sample's true neighbours that the lists asked must hold, with a least cosine and without one.
+SURE, USUAL = 0.999, 0.98
+#: Half width of a window in standard deviations of the projections' difference at the cosine that it stands for; the cosines
+#: through which windows widen before they hold all; queries of a tile.
+WIDTH, LEVELS, TILE = 2.0, (0.9,), 64
+_CALIBRATE = 1024
 
 
 def usable(v: str):
@@ -43,15 +49,15 @@ def usable(v: str):
     return c.isNotNull() & (F.size(c) == DIM) & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e300)) & F.exists(c, lambda x: x != 0)
 
 
-def stored_vectors(spark: SparkSession, sf_dir: str, kind: str = "array<float>") -> DataFrame:
-    """``key, id, o, vector``: all versions of all stored rows; the live one has the greatest ``o``."""
+def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, o, vector``: all versions of all stored rows; the live one has the greatest ``o``."""
     s = table(spark, sf_dir, "stored_records").filter("id is not null")
-    return s.select("id", F.struct(F.lit(1).alias("s"), F.col("updated_at").alias("u")).alias("o"), F.col("vector").cast(kind).alias("vector"))
+    return s.select("id", F.struct(F.lit(1).alias("s"), F.col("updated_at").alias("u")).alias("o"), "vector")
 
 
-def response_vectors(spark: SparkSession, sf_dir: str, kind: str = "array<float>") -> DataFrame:
+def response_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "embed_responses").select(F.explode(F.arrays_zip("ids", "vectors")).alias("x"))
-    r = r.select(F.col("x.ids").alias("id"), F.struct(F.lit(0).alias("s"), F.lit(None).cast("timestamp_ntz").alias("u")).alias("o"), F.col("x.vectors").cast(kind).alias("vector"))
+    r = r.select(F.col("x.ids").alias("id"), F.struct(F.lit(0).alias("s"), F.lit(None).cast("timestamp_ntz").alias("u")).alias("o"), F.col("x.vectors").alias("vector"))
     return r.filter("id is not null")
 
 
@@ -62,271 +68,250 @@ def live(versions: DataFrame, columns: list[str]) -> DataFrame:
     return v.withColumn("top", top).filter("o = top").select("key", "id", *columns)
 
 
-def directions(n: int, seed: int = 7) -> np.ndarray:
-    """As many random directions as the root of the number of vectors (a power of two), so that cells stay small as it grows."""
-    d = 1 << max(5, int(np.log2(max(2, n)) / 2))
-    return np.random.default_rng(seed).standard_normal((DIM, d)).astype(np.float32)
-
+def _unit(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    v = np.asarray(col.flatten(), dtype=np.float64).reshape(-1, DIM)
+    v = v / np.abs(v).max(1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1)[:, None]
 
-def _matrix(col: pa.Array) -> np.ndarray:
-    v = np.asarray(col.flatten(), dtype=np.float32).reshape(-1, DIM)
-    return v / np.linalg.norm(v.astype(np.float64), axis=1)[:, None].astype(np.float32)
 
+def rotation(seed: int = 7) -> np.ndarray:
+    """The directions of the sorted arrays: a random rotation."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((DIM, DIM)))
+    return q * np.sign(np.diag(r))
 
-def _cells(u: np.ndarray, dirs: np.ndarray) -> np.ndarray:
-    """Keys of the pairs of arrays that each vector enters, one row per vector."""
-    p = u @ dirs
-    top = np.argpartition(-np.abs(p), ENDS - 1, axis=1)[:, :ENDS]
-    signed = np.sort(2 * top + (np.take_along_axis(p, top, 1) > 0), axis=1).astype(np.uint64)
-    i, j = np.triu_indices(ENDS, 1)
-    return signed[:, i] * np.uint64(2 * dirs.shape[1]) + signed[:, j]
 
+# ---- lists
 
-def _four_bits(u: np.ndarray) -> np.ndarray:
-    s = np.abs(u).max(1, keepdims=True) / 7.0
-    q = (np.clip(np.rint(u / s), -7, 7) + 8).astype(np.uint8)
-    return q[:, ::2] << 4 | q[:, 1::2]
 
+def _sampled(vectors: DataFrame, rows: int, lists: int) -> np.ndarray:
+    """Distinct unit vectors of about ``max(SAMPLE, PER_LIST * lists)`` rows, chosen by their hash ``h``."""
+    want = max(SAMPLE, PER_LIST * lists)
+    some = vectors.filter(F.pmod(F.xxhash64("h", F.lit(5)), F.lit(1 << 30)) < int(min(1.0, want / max(1, rows)) * (1 << 30)))
 
-def _from_four_bits(q: np.ndarray) -> np.ndarray:
-    v = np.empty((len(q), DIM), np.float32)
-    v[:, ::2], v[:, 1::2] = (q >> 4).astype(np.float32) - 8, (q & 15).astype(np.float32) - 8
-    return v / np.linalg.norm(v, axis=1)[:, None]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                _, at = np.unique(np.asarray(b.column(0)), return_index=True)
+                u = _unit(b.column(1))[at].astype("<f4")
+                yield pa.RecordBatch.from_arrays([pa.array([u.tobytes()], pa.binary())], names=["rows"])
+
+    got = [np.frombuffer(r["rows"], "<f4").reshape(-1, DIM) for r in some.select("h", "vector").mapInArrow(pack, "rows BINARY").collect()]
+    return np.unique(np.concatenate(got), axis=0) if got else np.zeros((0, DIM), np.float32)
+
+
+def centroids(sample: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
+    """Unit centroids of a sample by cosine; empty ones start again from a random row."""
+    rng = np.random.default_rng(1)
+    c = sample[rng.choice(len(sample), min(lists, len(sample)), replace=False)].copy()
+    for _ in range(rounds):
+        home = np.concatenate([(sample[s : s + 8192] @ c.T).argmax(1) for s in range(0, len(sample), 8192)])
+        total = np.zeros_like(c)
+        np.add.at(total, home, sample)
+        n = np.linalg.norm(total, axis=1)
+        c = np.where((n > 0)[:, None], total / np.maximum(n, 1e-30)[:, None], sample[rng.choice(len(sample), len(c))])
+    return c
+
+
+def probes(sample: np.ndarray, c: np.ndarray, k: int, least: float | None) -> int:
+    """How many lists hold the stated share of the k nearest (of at least that cosine) of rows of the sample."""
+    q = np.random.default_rng(2).permutation(len(sample))[:_CALIBRATE]
+    near = sample[q] @ sample.T
+    near[np.arange(len(q)), q] = -2
+    k = min(k, len(sample) - 1)
+    if k < 1 or len(c) == 1:
+        return 1
+    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    ok = np.take_along_axis(near, best, 1) >= (-1.5 if least is None else least)
+    home = (sample[best[ok]] @ c.T).argmax(1)
+    mine = sample[q[np.nonzero(ok)[0]]] @ c.T
+    place = (mine > np.take_along_axis(mine, home[:, None], 1)).sum(1) + 1
+    if not len(place):
+        return min(2, len(c))
+    need = int(np.quantile(place, USUAL if least is None else SURE, method="higher"))
+    return min(len(c), max(2, need))
+
+
+class Lists:
+    """The lists of a collection.
+
+    versions: ``id, o, vector``. ``members``: ``h, id`` of all live usable rows; ``classes``: of each distinct live vector its
+    hash ``h``, its list, the least id that has it (``name``) and the number of ids (``size``). Two vectors with one 64-bit
+    hash would count as copies.
+    """
 
+    def __init__(self, versions: DataFrame, k: int, least: float | None) -> None:
+        v = versions.withColumn("vector", F.col("vector").cast("array<double>"))
+        v = v.withColumn("ok", usable("vector")).withColumn("h", F.when(F.col("ok"), F.xxhash64("vector")))
+        self.vectors = v.filter("ok").select("h", "vector")
+        rows = versions.count()
+        lists = int(min(LISTS, max(1, rows // LIST)))
+        sample = _sampled(self.vectors, rows, lists)
+        self.centroids = centroids(sample, lists) if len(sample) else np.zeros((1, DIM), np.float32)
+        self.probes = probes(sample, self.centroids, k, least)
+        o = f"STRUCT<{','.join(f'{x.name}: {x.dataType.simpleString()}' for x in v.schema['o'].dataType)}>"
+        placed = v.select("id", "o", "h", "vector").mapInArrow(_placed(self.centroids), f"id STRING, o {o}, h BIGINT, home INT")
+        self.members = stored(live(placed, ["h", "home"]).filter("h is not null").select("h", "home", "id").distinct())
+        self.classes = stored(self.members.groupBy("h").agg(F.first("home").alias("home"), F.min("id").alias("name"), F.count("*").alias("size")))
+        self.blocks = np.ones(len(self.centroids), np.int64)
+        for r in self.classes.groupBy("home").agg(F.count("*").alias("n")).collect():  # a row per list
+            self.blocks[r["home"]] = -(-r["n"] // (2 * LIST))
+
+    def search(self, visit: Callable, schema: str) -> DataFrame:
+        """``visit`` of each block of a list with each batch of vectors that ask it."""
+        cells = int(self.blocks.sum())
+        asked = self.vectors.mapInArrow(_asked(self.centroids, self.blocks, self.probes), _SENT)
+        names = self.classes.mapInArrow(_named(self.blocks), _SENT)
+        n = int(self.vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sent = asked.unionByName(names).repartition(max(n, min(cells, 16 * n)), "cell").sortWithinPartitions("cell", "kind")
+        return sent.mapInArrow(_visited(visit), schema)
+
+
+_SENT = "cell INT, kind INT, rows BINARY"
+_ROW = np.dtype([("h", "<i8"), ("v", "<f8", (DIM,))])
+#: What a cell gets, in this order: names of its own vectors, its own vectors, vectors from elsewhere that ask it.
+_NAMES, _OWN, _ASKING = 0, 1, 2
+
+
+def _near(u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines to all centroids, and the nearest one, which is the same whatever rows stand beside a row in its batch."""
+    near = u.astype(np.float32) @ c.T
+    home = near.argmax(1)
+    close = near >= near.max(1, keepdims=True) - 1e-4
+    for i in np.flatnonzero(close.sum(1) > 1):
+        at = np.flatnonzero(close[i])
+        home[i] = at[(u[i] * c[at].astype(np.float64)).sum(1).argmax()]
+    return near, home
+
+
+def _placed(c: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = np.flatnonzero(np.asarray(b.column(2).is_valid()))
+            home = np.full(b.num_rows, -1, np.int32)
+            if len(ok):
+                home[ok] = _near(_unit(b.column(3).take(pa.array(ok))), c)[1]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(home)], names=["id", "o", "h", "home"])
 
-def _angles(u: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """The angle between each vector and its 4-bit copy, in units of ``ANGLE``, rounded up; at most 0.6 for 64 numbers."""
-    c = np.einsum("ij,ij->i", u.astype(np.float64), _from_four_bits(q).astype(np.float64))
-    return np.ceil(np.arccos(np.clip(c, -1, 1)) / ANGLE + 0.1).astype(np.uint8)
+    return run
 
 
-def _sides(v: np.ndarray, off: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Matrices whose product is at least -1e-5 wherever the vectors behind two copies may have that cosine.
+def _own_block(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (blocks.mix(h) % n.astype(np.uint64)).astype(np.int64)
 
-    The angle of two vectors is no less than that of their copies less both vectors' own angles to them; so the copies of
-    such a pair have at least the cosine of ``acos(least) + a + b``, which the two further columns subtract.
-    """
-    b = (off * ANGLE).astype(np.float64)[:, None]
-    a = np.arccos(least) + b
-    return np.hstack([v, -np.cos(a), np.sin(a)]).astype(np.float32), np.hstack([v, np.cos(b), np.sin(b)]).astype(np.float32)
 
+def _sent(cell: np.ndarray, kind: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """One compressed binary row per cell and kind."""
+    order = np.lexsort((kind, cell))
+    cell, kind, rows = cell[order], kind[order], rows[order]
+    at = np.concatenate([[0], np.flatnonzero((np.diff(cell) != 0) | (np.diff(kind) != 0)) + 1])
+    zip_ = zstandard.ZstdCompressor(level=1)
+    packed = [zip_.compress(x.tobytes()) for x in np.split(rows, at[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(cell[at], pa.int32()), pa.array(kind[at], pa.int32()), pa.array(packed, pa.binary())], names=["cell", "kind", "rows"])
 
-def _postings(vectors: DataFrame, versions: DataFrame, n: int) -> DataFrame:
-    """Counts are taken over all versions, as they lie; superseded ones only make them larger."""
-    dirs, parts = directions(n), blocks.parts_of(vectors)
-    slot = lambda c: (blocks.mix(c) % np.uint64(blocks.SKETCH)).astype(np.int64)
-    size = blocks.counts(versions.filter(usable("vector")).select("vector"), lambda b: slot(_cells(_matrix(b.column(0)), dirs).ravel()) if b.num_rows else np.zeros(0, np.int64))
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            u = _matrix(b.column(1))
-            c, row, q = _cells(u, dirs), np.asarray(b.column(0)), _four_bits(u)
-            at = np.repeat(np.arange(len(u)), c.shape[1])
-            key = c.ravel()
-            idx, cell, side = blocks.spread(key, row[at], size[slot(key)])
-            out = np.empty(len(idx), _POST)
-            out["cell"], out["row"], out["side"], out["q"] = blocks.short(cell), row[at[idx]], side, q[at[idx]]
-            out["off"] = _angles(u, q)[at[idx]]
-            yield blocks.pack(cell, out, parts)
-
-    return blocks.by_part(vectors.select("key", "vector").mapInArrow(post, "part INT, rows BINARY"))
-
-
-def _labels(left: np.ndarray, right: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Of each row of a cell the least row that it hangs together with by pairs that may be similar; -1 without any."""
-    n = len(left)
-    lab, alone = np.arange(n), np.ones(n, bool)
-    two, upper = (side & 2) > 0, (side & 1) > 0  # of a cell for two blocks only pairs across count
-    rounds = 0
-    while True:
-        new = lab.copy()
-        for s in range(0, n, 1024):
-            hit = left[s : s + 1024] @ right.T >= -1e-5
-            if two.any():
-                hit &= ~(two[s : s + 1024, None] & two[None, :]) | (upper[s : s + 1024, None] != upper[None, :])
-            hit[np.arange(len(hit)), np.arange(s, s + len(hit))] = False
-            if rounds == 0:
-                alone[s : s + 1024] = ~hit.any(1)
-            new[s : s + 1024] = np.minimum(new[s : s + 1024], np.where(hit, lab[None, :], n).min(1))
-        new = np.minimum(new, new[new])
-        rounds += 1
-        if (new == lab).all():
-            break
-        lab = new
-    return np.where(alone, -1, lab)
-
-
-def suspects(c: Collection, least: float = LEAST) -> DataFrame:
-    """``key, leader``: vectors that may have a similar one, each beside a key that all those close to it share."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in blocks.unpacked(batches, _POST):
-            order, start, end = blocks.groups(x["cell"])
-            x = x[order]
-            keys, leaders = [], []
-            for a, b in zip(start.tolist(), end.tolist(), strict=True):
-                g = x[a:b]
-                left, right = _sides(_from_four_bits(g["q"]), g["off"], least)
-                if b - a <= 1024:
-                    hit = left @ right.T >= -1e-5
-                    np.fill_diagonal(hit, False)
-                    if not hit.any():
-                        continue
-                lab = _labels(left, right, g["side"])
-                at = np.flatnonzero(lab >= 0)
-                if len(at):
-                    # the least key of the group, not the first row: the same in every cell that holds the group
-                    low = np.full(len(g), np.iinfo(np.int64).max)
-                    np.minimum.at(low, lab[at], g["row"][at])
-                    keys.append(g["row"][at])
-                    leaders.append(low[lab[at]])
-            if keys:
-                k = np.unique(np.stack([np.concatenate(keys), np.concatenate(leaders)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1])], names=["key", "leader"])
-
-    return cut(_postings(c.vectors, c.versions, c.n).mapInArrow(meet, "key BIGINT, leader BIGINT").distinct())
-
-
-def _verified(pairs: DataFrame, vectors: DataFrame, visit, schema: str) -> DataFrame:
-    """Run ``visit(ids, vectors, own)`` on each group of suspects; a large group is cut into pairs of row blocks."""
-    size = pairs.groupBy("leader").agg(F.count("*").alias("n"))
-    p = pairs.join(size, "leader")
-    s = F.ceil(F.col("n") / F.lit(blocks.HOT)).cast("int")
-    p = p.select("key", "leader", s.alias("s"), F.pmod(F.xxhash64("key", F.lit(3)), s).cast("int").alias("own"))
-    p = p.select("key", "leader", "s", "own", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("other"))
-    p = p.select("key", "leader", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    g = vectors.join(p, "key").repartition("leader", "lo", "hi").sortWithinPartitions("leader", "lo", "hi").select("leader", "lo", "hi", "own", "id", "vector")
+def _asked(c: np.ndarray, size: np.ndarray, n: int):
+    base = np.cumsum(size) - size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush():
-            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            v = np.asarray(t.column(5).flatten(), dtype=np.float64).reshape(-1, DIM)
-            ids = np.asarray(t.column(4).to_pylist(), dtype=object)
-            return visit(ids, v / np.linalg.norm(v, axis=1)[:, None], np.asarray(t.column(3)))
-
-        last = None
         for b in batches:
             if not b.num_rows:
                 continue
-            k = np.stack([np.asarray(b.column(i)).astype(np.int64) for i in range(3)], axis=1)
-            edge = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
-            for x, y in zip([0, *edge], [*edge, b.num_rows], strict=True):
-                name = tuple(k[x])
-                if last is not None and name != last:
-                    yield from flush()
-                    held = []
-                last = name
-                held.append(b.slice(x, y - x))
-        if held:
-            yield from flush()
-
-    return g.mapInArrow(run, schema)
-
-
-def _compared(v: np.ndarray, own: np.ndarray, ids: np.ndarray, step: int = 1024):
-    """Rounded cosines, a slab of rows at a time, with -2 where a pair does not count here."""
-    two = own.min() != own.max()
-    for s in range(0, len(v), step):
-        c = np.round(v[s : s + step] @ v.T, 6)
-        c[ids[s : s + step, None] == ids[None, :]] = -2
-        if two:
-            c[own[s : s + step, None] == own[None, :]] = -2
-        yield s, c
-
-
-def _nearest(k: int, least: float):
-    def visit(ids: np.ndarray, v: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(ids, kind="stable")
-        ids, v, own = ids[order], v[order], own[order]
-        first = np.concatenate([[True], ids[1:] != ids[:-1]])
-        ids, v, own = ids[first], v[first], own[first]
-        for s, c in _compared(v, own, np.arange(len(ids))):
-            m = min(k, c.shape[1])  # rows are sorted by id, so a stable sort breaks ties by it
-            best = np.argsort(-c, axis=1, kind="stable")[:, :m]
-            sc = np.take_along_axis(c, best, 1)
-            r, j = np.nonzero(sc >= least)
-            if len(r):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[s + r], pa.string()), pa.array(ids[best[r, j]], pa.string()), pa.array(sc[r, j])], names=["id", "other", "cosine"])
-
-    return visit
-
-
-def _counted(k: int, least: float):
-    def visit(ids: np.ndarray, v: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(ids, kind="stable")
-        ids, v, own = ids[order], v[order], own[order]
-        first = np.concatenate([[True], ids[1:] != ids[:-1]])
-        ids, v, own = ids[first], v[first], own[first]
-        for s, c in _compared(v, own, np.arange(len(ids))):
-            hit = c >= least
-            hit &= np.cumsum(hit, axis=1) <= k  # the k least ids prove a count of k
-            r, j = np.nonzero(hit)
-            if len(r):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[s + r], pa.string()), pa.array(ids[j], pa.string())], names=["id", "other"])
-
-    return visit
-
-
-class Collection:
-    """The live usable vectors with their exact copies set apart.
+            h, first = np.unique(np.asarray(b.column(0)), return_index=True)  # copies within the batch count once
+            rows = np.empty(len(h), _ROW)
+            rows["h"], rows["v"] = h, np.asarray(b.column(1).flatten(), dtype=np.float64).reshape(-1, DIM)[first]
+            near, home = _near(_unit(b.column(1))[first], c)
+            near[np.arange(len(h)), home] = 2
+            lists = np.argpartition(-near, n - 1, axis=1)[:, :n]
+            row = np.repeat(np.arange(len(h)), n)
+            lists = lists.ravel()
+            at = np.repeat(np.arange(len(row)), size[lists])
+            cell = np.repeat(base[lists], size[lists]) + np.arange(len(at)) - np.repeat(np.cumsum(size[lists]) - size[lists], size[lists])
+            own = (base[home] + _own_block(h, size[home]))[row[at]]
+            yield _sent(cell, np.where(cell == own, _OWN, _ASKING), rows[row[at]])
 
-    versions: ``id, o, vector``. ``vectors`` holds one row (or several identical ones) per distinct vector, ``copies``
-    ``key, rep, id`` for all members of classes of at least two ids.
-    """
-
-    def __init__(self, versions: DataFrame) -> None:
-        self.versions = versions
-        v = versions.withColumn("ok", usable("vector")).withColumn("h", F.xxhash64("vector"))
-        small = live(v, ["ok", "h"]).filter("ok").select("key", "id", "h").distinct()
-        self.small = cut(small)
-        self.n = self.small.count()
-        same = self.small.groupBy("h").agg(F.count("*").alias("c"), F.min("key").alias("rep")).filter("c > 1")
-        self.copies = cut(self.small.join(same, "h").select("key", "rep", "id"))
-        self.any_copies = not self.copies.isEmpty()
-        vec = live(v, ["vector", "ok"]).filter("ok").select("key", "id", "vector")
-        self.vectors = vec.join(self.copies.filter("key <> rep").select("key"), "key", "left_anti") if self.any_copies else vec
-
-
-def _unit(col: pa.ChunkedArray) -> np.ndarray:
-    v = np.asarray(col.combine_chunks().flatten(), dtype=np.float64).reshape(-1, DIM)
-    v = v / np.abs(v).max(1, keepdims=True)
-    return v / np.linalg.norm(v, axis=1)[:, None]
+    return run
 
 
-def _chunks(vectors: DataFrame) -> list[Broadcast]:
-    """All rows of ``id, vector`` as broadcasts of about ``CHUNK`` rows; the driver holds one of them at a time."""
+def _named(size: np.ndarray):
+    base = np.cumsum(size) - size
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
+            if not b.num_rows:
+                continue
+            h, home = np.asarray(b.column(0)), np.asarray(b.column(1))
+            cell = base[home] + _own_block(h, size[home])
+            order = np.argsort(cell, kind="stable")
+            at = np.concatenate([[0], np.flatnonzero(np.diff(cell[order])) + 1, [len(h)]])
+            packed = []
+            for x, y in zip(at[:-1], at[1:], strict=True):
                 to = pa.BufferOutputStream()
-                pq.write_table(pa.Table.from_batches([b]), to, compression="zstd")
-                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32()), pa.array([to.getvalue().to_pybytes()], pa.binary())], names=["n", "rows"])
+                t = b.take(pa.array(order[x:y]))
+                with pa.ipc.new_stream(to, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    w.write_batch(t)
+                packed.append(to.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(cell[order[at[:-1]]], pa.int32()), pa.array([_NAMES] * len(packed), pa.int32()), pa.array(packed, pa.binary())], names=["cell", "kind", "rows"])
 
-    out, held, n = [], [], 0
-    for r in vectors.select("id", "vector").mapInArrow(pack, "n INT, rows BINARY").toLocalIterator():
-        if held and n + r["n"] > CHUNK:
-            out.append(vectors.sparkSession.sparkContext.broadcast(held))
-            held, n = [], 0
-        held.append(bytes(r["rows"]))
-        n += r["n"]
-    return [*out, vectors.sparkSession.sparkContext.broadcast(held)] if held else out
-
-
-def _loaded(chunk: Broadcast) -> tuple[pa.Array, np.ndarray]:
-    """Ids of a chunk in order, and their vectors. Nothing of it stays in the worker."""
-    t = pa.concat_tables([pq.read_table(pa.BufferReader(x)) for x in chunk.value])
-    vars(chunk).pop("_value", None)
-    t = t.take(pc.sort_indices(t["id"]))
-    return t["id"].combine_chunks(), _unit(t["vector"])
+    return run
 
 
-def _first(r: np.ndarray, j: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The k best of each row by cosine and position, and their ranks."""
+# ---- search in a cell
+
+
+class Cell:
+    """The distinct vectors of a block of a list, in the order of their names, under sorted arrays of their projections."""
+
+    def __init__(self, h: np.ndarray, names: pa.Array, size: np.ndarray, v: np.ndarray) -> None:
+        self.h, self.names, self.size = h, names, size
+        self.v = v / np.linalg.norm(v, axis=1)[:, None]
+        self.v4 = self.v.astype(np.float32)
+        self.turn = rotation()
+        p = self.v @ self.turn
+        order = np.argsort(p, axis=0)
+        self.sorted = np.take_along_axis(p, order, 0)
+        self.place = np.empty((DIM, len(h)), np.uint32 if len(h) >= 1 << 16 else np.uint16)
+        np.put_along_axis(self.place, order.T, np.broadcast_to(np.arange(len(h), dtype=self.place.dtype), (DIM, len(h))), 1)
+
+    def collisions(self, q: np.ndarray, cosine: float) -> np.ndarray:
+        """Which vectors lie in so many windows of each query that they may have that cosine: all that have it do."""
+        d2 = 2 - 2 * cosine + 1e-5
+        w = WIDTH * np.sqrt(d2 / DIM)
+        p = q @ self.turn
+        seen = np.zeros((len(q), len(self.h)), np.uint8)
+        off, inside = np.empty(seen.shape, self.place.dtype), np.empty(seen.shape, bool)
+        for j in range(DIM):
+            lo = np.searchsorted(self.sorted[:, j], p[:, j] - w, "left")
+            n = np.searchsorted(self.sorted[:, j], p[:, j] + w, "right") - lo
+            np.subtract(self.place[j][None, :], lo.astype(self.place.dtype)[:, None], out=off)  # below the window it wraps to a large number
+            np.less(off, n.astype(self.place.dtype)[:, None], out=inside)
+            np.add(seen, inside.view(np.uint8), out=seen)
+        return seen >= DIM - int(d2 / w**2 + 1e-9)
+
+    def verified(self, qh: np.ndarray, q: np.ndarray, may: np.ndarray | None, least: float):
+        """Query, vector and rounded cosine of the pairs in ``may`` (all where it is None) that reach ``least``; not a vector with itself."""
+        if may is not None and np.count_nonzero(may) * 8 < may.size:
+            r, j = np.nonzero(may)
+        else:
+            hit = q.astype(np.float32) @ self.v4.T >= least - 1e-5
+            r, j = np.nonzero(hit if may is None else hit & may)
+        ok = qh[r] != self.h[j]
+        r, j = r[ok], j[ok]
+        c = np.concatenate([np.round(np.einsum("ij,ij->i", q[r[s : s + 65_536]], self.v[j[s : s + 65_536]]), 6) for s in range(0, max(1, len(r)), 65_536)])
+        ok = c >= least
+        return r[ok], j[ok], c[ok]
+
+    def kth(self, q: np.ndarray, k: int) -> np.ndarray:
+        """A lower bound of each query's k-th best cosine, from some of the vectors (one of which may be its own)."""
+        some = self.v4[:: max(1, len(self.v4) // 512)]
+        if len(some) <= k:
+            return np.full(len(q), -2.0)
+        return -np.partition(-(q.astype(np.float32) @ some.T), k, axis=1)[:, k] - 1e-5
+
+
+def _ordered(r: np.ndarray, j: np.ndarray, c: np.ndarray, k: int):
+    """The k best of each query by cosine and position, and their ranks."""
     o = np.lexsort((j, -c, r))
     r, j, c = r[o], j[o], c[o]
     rank = np.arange(len(r)) - np.searchsorted(r, r)
@@ -334,116 +319,120 @@ def _first(r: np.ndarray, j: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndar
     return r[ok], j[ok], c[ok], rank[ok]
 
 
-def _best(x: np.ndarray, y: np.ndarray, y4: np.ndarray, own: np.ndarray, kth: np.ndarray, k: int):
-    """The k best rows of y for each of x, as far as they reach its ``kth`` cosine so far; ``own``: a vector's own row."""
-    x4, least = x.astype(np.float32), kth - OFF
-    if kth.min() < -1 and len(y4) > GUESS > k:
-        # the next after k of some rows, as one may be its own: no more than its k-th of all
-        some = x4 @ y4[:: len(y4) // GUESS][:GUESS].T
-        least = np.maximum(least, -np.partition(-some, k, axis=1)[:, k] - OFF)
-    r, j, c = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    fresh, rank = 0, r
-    for s in range(0, len(y4), COLUMNS):
-        part = y4[s : s + COLUMNS]
-        hit = np.flatnonzero((x4 @ part.T >= least.astype(np.float32)[:, None]).ravel())
-        for t in range(0, len(hit), 1 << 17):
-            a, b = np.divmod(hit[t : t + (1 << 17)], len(part))
-            b += s
-            ok = own[a] != b
-            a, b = a[ok], b[ok]
-            r, j, c = np.append(r, a), np.append(j, b), np.append(c, np.round(np.einsum("ij,ij->i", x[a], y[b]), 6))
-            fresh += len(a)
-            if fresh > 2 * k * len(x):
-                r, j, c, rank = _first(r, j, c, k)
-                full = rank == k - 1
-                least[r[full]] = np.maximum(least[r[full]], c[full] - OFF)
-                fresh = 0
-    return _first(r, j, c, k)
-
-
-def _searched(chunks: list[Broadcast], k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        names, x = t["id"].combine_chunks(), _unit(t["vector"])
-        top = np.full((len(x), k), -2.0)  # the k best cosines so far, the least first
-        found = []
-        for chunk in chunks:
-            ids, y = _loaded(chunk)
-            y4 = y.astype(np.float32)
-            own = pc.fill_null(pc.index_in(names, value_set=ids), -1).to_numpy(zero_copy_only=False)
-            for s in range(0, len(x), ROWS):
-                r, j, c, rank = _best(x[s : s + ROWS], y, y4, own[s : s + ROWS], top[s : s + ROWS, 0], k)
-                new = np.full((len(top[s : s + ROWS]), k), -2.0)
-                new[r, rank] = c
-                top[s : s + ROWS] = np.sort(np.concatenate([top[s : s + ROWS], new], axis=1), axis=1)[:, -k:]
-                ok = c >= top[s + r, 0]  # equal ones stay until all chunks are seen: the smaller id may come later
-                found.append((s + r[ok], ids.take(pa.array(j[ok])), c[ok]))
-        for r, other, c in found:
-            ok = c >= top[r, 0]
+def _nearest(k: int, least: float | None):
+    levels = [x for x in LEVELS if least is None or x > least] + ([None] if least is None else [least])
+
+    def visit(cell: Cell, qh: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for level in levels:
+            if not len(q):
+                return
+            if level is None:  # windows so wide hold all; only those that may be among the k best are verified
+                low = cell.kth(q, k)
+                hit = q.astype(np.float32) @ cell.v4.T >= low[:, None].astype(np.float32)
+                r, j, c = cell.verified(qh, q, hit, -2.0)
+            else:
+                r, j, c = cell.verified(qh, q, cell.collisions(q, level), level)
+            r, j, c, rank = _ordered(r, j, c, k)
+            closed = np.ones(len(q), bool)
+            if level is not levels[-1]:
+                closed[:] = False
+                closed[r[rank == k - 1]] = True
+            ok = closed[r]
             if ok.any():
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(r[ok])), other.filter(pa.array(ok)), pa.array(c[ok])], names=["id", "other", "cosine"])
+                yield pa.RecordBatch.from_arrays([pa.array(qh[r[ok]]), cell.names.take(pa.array(j[ok])), pa.array(c[ok])], names=["h", "other", "cosine"])
+            qh, q = qh[~closed], q[~closed]
 
-    return run
+    return visit
 
 
-def _compared_with_all(versions: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
-    """``id, other, cosine`` of distinct vectors under the least id of each, and ``name, id`` of all members of classes of equal ones."""
-    v = versions.withColumn("ok", usable("vector")).withColumn("h", F.xxhash64("vector"))
-    one = stored(live(v, ["vector", "ok", "h"]).filter("ok").groupBy("key", "id").agg(F.first("h").alias("h"), F.first("vector").alias("vector")))
-    same = one.groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("name")).filter("c > 1")
-    copies = cut(one.select("id", "h").join(same, "h").select("name", "id"))
-    distinct = stored(one.groupBy("h").agg(F.min("id").alias("id"), F.first("vector").alias("vector")).select("id", "vector"))
-    parts = max(1, min(blocks.parts_of(one), one.count() // ROWS))
-    near = distinct.repartition(parts, "id").mapInArrow(_searched(_chunks(distinct), k), "id STRING, other STRING, cosine DOUBLE")
-    return near, None if copies.isEmpty() else copies
+def _counted(least: float):
+    def visit(cell: Cell, qh: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
+        r, j, _ = cell.verified(qh, q, cell.collisions(q, least), least)
+        if len(r):
+            n = np.bincount(r, weights=cell.size[j], minlength=len(q)).astype(np.int64)
+            low = np.full(len(q), np.iinfo(np.int64).max)
+            np.minimum.at(low, r, cell.h[j])
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(qh[at]), pa.array(n[at]), pa.array(low[at])], names=["h", "n", "low"])
+
+    return visit
+
 
+def _visited(visit: Callable):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        un = zstandard.ZstdDecompressor()
+
+        def rows_of(data: list[bytes]) -> np.ndarray:
+            x = np.concatenate([np.frombuffer(un.decompress(d), _ROW) for d in data])
+            x = x[np.unique(x["h"], return_index=True)[1]]
+            v = x["v"] / np.abs(x["v"]).max(1, keepdims=True)
+            x["v"] = v / np.linalg.norm(v, axis=1)[:, None]
+            return x
+
+        def made(names: list[pa.RecordBatch], own: np.ndarray) -> Cell:
+            t = pa.Table.from_batches(names)
+            t = t.take(pc.sort_indices(t["name"]))
+            return Cell(t["h"].to_numpy(), t["name"].combine_chunks(), t["size"].to_numpy(), own["v"][np.searchsorted(own["h"], t["h"].to_numpy())])
+
+        def asked(cell: Cell, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for s in range(0, len(x), TILE):
+                yield from visit(cell, x["h"][s : s + TILE], x["v"][s : s + TILE])
+
+        stream = (x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True))
+        for _, parts in itertools.groupby(stream, key=lambda x: x[0]):
+            names, cell, seen = [], None, np.zeros(0, np.int64)
+            for kind, some in itertools.groupby(parts, key=lambda x: x[1]):
+                if kind == _NAMES:
+                    names = [b for x in some for b in pa.ipc.open_stream(x[2].as_py())]
+                elif kind == _OWN and names:
+                    x = rows_of([x[2].as_py() for x in some])
+                    cell = made(names, x)
+                    yield from asked(cell, x)
+                elif cell is not None:
+                    for y in some:
+                        x = rows_of([y[2].as_py()])
+                        x = x[~np.isin(x["h"], seen)]
+                        seen = np.append(seen, x["h"])
+                        yield from asked(cell, x)
 
-def _ranked(near: DataFrame, copies: DataFrame | None, k: int) -> DataFrame:
-    """The k best of each id by cosine, then id; ids stand for their class, whose members are ``name, id``."""
-    if copies is not None:
-        # the k + 1 least ids of a class are all that can be among k neighbours
-        few = copies.withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy("id"))).filter(F.col("n") <= k + 1).select(F.col("name").alias("other"), F.col("id").alias("member"))
-        own = copies.select(F.col("name").alias("id"), F.col("name").alias("other"), F.lit(1.0).alias("cosine")).distinct()
-        near = near.unionByName(own).join(few, "other", "left").select("id", F.coalesce("member", "other").alias("other"), "cosine")
-        near = near.join(copies.select(F.col("name").alias("id"), F.col("id").alias("twin")), "id", "left").select(F.coalesce("twin", "id").alias("id"), "other", "cosine").filter("id <> other")
-    w = Window.partitionBy("id").orderBy(F.desc("cosine"), "other")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("id", F.col("rank").cast("bigint").alias("rank"), "other", "cosine")
+    return run
 
 
 def neighbours(versions: DataFrame, k: int = K, least: float | None = LEAST) -> DataFrame:
     """``id, rank, other, cosine``: of each vector its k most similar others, ties by smaller id.
 
-    With ``least`` only those with at least that cosine, from the index; without it all k of every vector, exactly. Rows without
-    a usable vector take no part; no vectors give no rows. Cosines are rounded to 6 decimals.
+    versions: ``id, o, vector`` and any other columns; the row with the greatest ``o`` of an id counts, identical rows once.
+    With ``least`` only neighbours of at least that cosine. Rows without a usable vector take no part; no vectors give no
+    rows. Cosines are taken in double precision and rounded to 6 decimals.
     """
-    if least is None:
-        return _ranked(*_compared_with_all(versions, k), k)
-    c = Collection(versions)
-    near = _verified(suspects(c, least), c.vectors, _nearest(k, least), "id STRING, other STRING, cosine DOUBLE").distinct()
-    name = c.copies.filter("key = rep").select(F.col("id").alias("name"), "rep").distinct()
-    return _ranked(near, c.copies.select("id", "rep").distinct().join(name, "rep").select("name", "id") if c.any_copies else None, k)
+    c = Lists(versions, k, least)
+    near = c.search(_nearest(k, least), "h BIGINT, other STRING, cosine DOUBLE")
+    best = F.row_number().over(Window.partitionBy("h").orderBy(F.desc("cosine"), "other"))
+    near = near.withColumn("n", best).filter(F.col("n") <= k).select("h", "other", "cosine")
+    many = c.classes.filter("size > 1").select("h", "name")
+    # the k + 1 least ids of a class are all that can be among k neighbours
+    few = c.members.join(many, "h").withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy("id"))).filter(F.col("n") <= k + 1).select(F.col("name").alias("other"), F.col("id").alias("member"))
+    near = near.unionByName(many.select("h", F.col("name").alias("other"), F.lit(1.0).alias("cosine"))).join(few, "other", "left")
+    near = near.join(c.members.select("h", "id"), "h").select("id", F.coalesce("member", "other").alias("other"), "cosine").filter("id <> other")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other"))
+    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("id", F.col("rank").cast("bigint").alias("rank"), "other", "cosine")
 
 
-def crowd_members(versions: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
-    """``id`` of the vectors with at least k other ids at that cosine. Counts stop at k, so crowds of any size cost no more."""
-    c = Collection(versions)
-    return crowded(c, suspects(c, least), k, least)
+def counted(c: Lists, least: float = LEAST) -> DataFrame:
+    """``h, n, low``: how many other ids a vector has at that cosine in each list it asks, and the least hash among them."""
+    return stored(c.search(_counted(least), "h BIGINT, n BIGINT, low BIGINT"))
 
 
-def crowded(c: Collection, near: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
-    seen = _verified(near, c.vectors, _counted(k, least), "id STRING, other STRING").distinct()
-    if c.any_copies:
-        name = c.copies.filter("key = rep").select(F.col("id").alias("name"), "rep").distinct()
-        sizes = c.copies.groupBy("rep").agg(F.count("*").alias("size")).join(name, "rep").select("name", "size")
-        own = sizes.select(F.col("name").alias("id"), F.lit(None).cast("string").alias("other"), (F.col("size") - 1).alias("w"))
-        w = seen.join(sizes.select(F.col("name").alias("other"), "size"), "other", "left").select("id", "other", F.coalesce("size", F.lit(1)).alias("w"))
-        full = w.unionByName(own).groupBy("id").agg(F.sum("w").alias("n")).filter(F.col("n") >= k).select("id")
-        m = c.copies.select("rep", F.col("id").alias("twin")).join(name, "rep").select(F.col("name").alias("id"), "twin")
-        return full.join(m, "id", "left").select(F.coalesce("twin", "id").alias("id"))
-    return seen.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") >= k).select("id")
+def crowded(c: Lists, seen: DataFrame, k: int = CROWD) -> DataFrame:
+    """``id`` of the vectors with at least k others: those counted in the lists and their own copies."""
+    n = seen.select("h", "n").unionByName(c.classes.filter("size > 1").select("h", (F.col("size") - 1).alias("n")))
+    return c.members.join(n.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= k).select("h"), "h", "left_semi").select("id")
+
+
+def crowd_members(versions: DataFrame, k: int = CROWD, least: float = LEAST) -> DataFrame:
+    """``id`` of the vectors with at least k other ids at that cosine; rows as for ``neighbours``."""
+    c = Lists(versions, k, least)
+    return crowded(c, counted(c, least), k)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,8 +441,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = stored_vectors(spark, sf_dir, "array<double>").unionByName(response_vectors(spark, sf_dir, "array<double>"))
-    return neighbours(v, least=None)
+    return neighbours(stored_vectors(spark, sf_dir).unionByName(response_vectors(spark, sf_dir)), least=None)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
