@@ -12,18 +12,21 @@ import hashlib
 import mimetypes
 import os
 import re
+import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 from urllib.parse import unquote_to_bytes
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The tags, attributes and protocols that survive cleaning.
 TAGS = frozenset("p br strong em b i ul ol li blockquote code pre hr a h1 h2 h3 h4 h5 h6 img figure figcaption".split())
 ATTRIBUTES = {"a": ("href", "title"), "img": ("src", "alt", "title")}
-PROTOCOLS = ("http", "https", "mailto", "data", "file")
+PROTOCOLS = ("http", "https", "mailto", "tel", "data")
 #: Extensions of common image types.
 EXTENSIONS = {
     "image/png": ".png", "image/jpeg": ".jpg", "image/jpg": ".jpg", "image/gif": ".gif",
@@ -34,6 +37,10 @@ BLOCK = frozenset("p div ul ol li blockquote pre hr h1 h2 h3 h4 h5 h6 figure fig
 IMAGE_TYPE = "struct<path: string, mime: string, sha256: string, alt: string, title: string, caption: string, content: binary>"
 
 
+#: Deeper elements lie beside each other, as browsers too bound the depth of a page; no text is lost by it.
+DEPTH = 120
+
+
 @dataclass
 class Node:
     tag: str
@@ -46,25 +53,32 @@ class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
-        self.at = self.root
+        self.at, self.depth = self.root, 0
+        self.flat: Counter = Counter()  # open elements below the greatest depth
 
     def handle_starttag(self, tag, attrs):
         if tag in ("li", "p") and self.at.tag == tag:
-            self.at = self.at.parent
+            self.at, self.depth = self.at.parent, self.depth - 1
         n = Node(tag, {k: v or "" for k, v in attrs}, [], self.at)
         self.at.children.append(n)
         if tag not in VOID:
-            self.at = n
+            if self.depth < DEPTH:
+                self.at, self.depth = n, self.depth + 1
+            else:
+                self.flat[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, [], self.at))
 
     def handle_endtag(self, tag):
-        n = self.at
+        if self.flat[tag]:
+            self.flat[tag] -= 1
+            return
+        n, up = self.at, 1
         while n is not None and n.tag != tag:
-            n = n.parent
+            n, up = n.parent, up + 1
         if n is not None and n.parent is not None:
-            self.at = n.parent
+            self.at, self.depth = n.parent, self.depth - up
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -84,11 +98,11 @@ def flat_text(node: Node | str) -> str:
 def decode_data_uri(uri: str) -> tuple[bytes, str]:
     """Bytes and type of a data URI; ValueError where it is none or its base64 is broken."""
     head, comma, data = uri.partition(",")
-    if not head.startswith("data:") or not comma:
+    if not head.lower().startswith("data:") or not comma:
         raise ValueError("not a data URI")
     params = head[5:].split(";")
-    mime = params[0] or "text/plain"
-    if params[-1] == "base64" and len(params) > 1:
+    mime = params[0].strip().lower() or "text/plain"
+    if params[-1].strip().lower() == "base64" and len(params) > 1:
         try:
             return base64.b64decode(re.sub(r"\s+", "", data), validate=True), mime
         except binascii.Error as e:
@@ -124,7 +138,7 @@ class _Markdown:
     def image(self, n: Node) -> str:
         a = {k: (n.attrs.get(k) or "").strip() for k in ("src", "alt", "title")}
         caption = caption_of(n)
-        if a["src"].startswith("data:"):
+        if a["src"].lower().startswith("data:"):
             try:
                 raw, mime = decode_data_uri(a["src"])
             except ValueError:
@@ -243,19 +257,26 @@ def html_to_result(docs: DataFrame, *, id_col: str = "doc_key", html_col: str =
 
 
 def write_images(results: DataFrame, out_dir: str) -> None:
-    """Store each distinct image once, under its content-addressed path, by a temporary file and a rename."""
+    """Store each distinct image once, under its content-addressed path, by a temporary file and a rename.
+
+    ``out_dir`` is an address that all executors share (``hdfs://``, ``s3://``, ...); a plain path is one only where there is
+    a single machine, and refused elsewhere. The executors write in parallel.
+    """
+    if "://" not in out_dir and not results.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError(f"{out_dir!r} lies on each machine's own disk; name a shared file system")
 
     def store(rows) -> None:
+        fs, root = pafs.FileSystem.from_uri(out_dir if "://" in out_dir else os.path.abspath(out_dir))
         for r in rows:
-            path = os.path.join(out_dir, r["path"])
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            if not os.path.exists(path):
-                tmp = f"{path}.{os.getpid()}.tmp"
-                with open(tmp, "wb") as f:
+            path = f"{root}/{r['path']}"
+            if fs.get_file_info(path).type == pafs.FileType.NotFound:
+                fs.create_dir(os.path.dirname(path))
+                tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+                with fs.open_output_stream(tmp) as f:
                     f.write(r["content"])
-                os.replace(tmp, path)
+                fs.move(tmp, path)
 
-    results.select(F.explode("images").alias("i")).select("i.path", "i.content").dropDuplicates(["path"]).foreachPartition(store)
+    results.select(F.explode("images").alias("i")).select("i.path", "i.content").filter("path is not null").dropDuplicates(["path"]).foreachPartition(store)
 
 
 def image_description(caption: Column, alt: Column, title: Column) -> Column:

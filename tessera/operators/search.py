@@ -1,8 +1,8 @@
 """Dense search: exact top-k for a set of query vectors.
 
-The query set is a stated, bounded set. It is cut into blocks of ``block`` vectors; each block travels to the
-scan as one matrix, every Arrow batch keeps its k best rows per query, and a window keeps the k best of those.
-So at most ``k * queries`` rows leave a batch and the collection is never shuffled.
+The query set is a stated, bounded set. It is cut into blocks of ``block`` vectors that all travel to one scan as matrices.
+A task keeps track of the k best scores of each query, so that a row leaves it only where it is among the best so far, and a
+window keeps the k best of those. The collection is read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -11,11 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import HIGHER_IS_BETTER, measure
 
+#: Queries of one call; they pass through the driver and travel to every task.
+MOST_QUERIES = 100_000
+
 
 def _scores(name: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
     if name == "dot":
@@ -32,7 +36,7 @@ def _scores(name: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def knn(
     records: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine", *, id_col: str = "id",
-    vector_col: str = "vector", digits: int | None = None, block: int = 1024, most: int = 100_000,
+    vector_col: str = "vector", digits: int | None = None, block: int = 1024, most: int = MOST_QUERIES,
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: the k best records of each query.
 
@@ -50,45 +54,42 @@ def knn(
     qs = [(r[0], r[1]) for r in queries.select("query_id", "vector").limit(most + 1).toLocalIterator() if r[1] and not any(x is None or x != x for x in r[1])]
     if len(qs) > most:
         raise ValueError(f"{len(qs)} queries at once; ask at most {most}")
-    schema = f"query_id BIGINT, id {id_type}, score DOUBLE"
-    parts = []
-    for s in range(0, len(qs), block):
-        ids = np.array([x[0] for x in qs[s : s + block]], dtype=np.int64)
-        by_dim: dict[int, list[int]] = {}
-        for i, (_, v) in enumerate(qs[s : s + block]):
-            by_dim.setdefault(len(v), []).append(i)
-        mats = {d: (ids[ix], np.array([qs[s + i][1] for i in ix], dtype=np.float64)) for d, ix in by_dim.items()}
-
-        def search(batches: Iterator[pa.RecordBatch], mats=mats) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                col = b.column(1)
-                lengths = np.array([-1 if x is None else x for x in col.value_lengths().to_pylist()])
-                for d, (qid, q) in mats.items():
+    blocks: list[tuple[np.ndarray, np.ndarray]] = []
+    for d in sorted({len(v) for _, v in qs}):
+        own = [(i, v) for i, v in qs if len(v) == d]
+        for s in range(0, len(own), block):
+            blocks.append((np.array([i for i, _ in own[s : s + block]], dtype=np.int64), np.array([v for _, v in own[s : s + block]], dtype=np.float64)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worst = [np.full(len(ids), np.inf) for ids, _ in blocks]  # the k-th best key of each query so far
+        best = [np.full((len(ids), k), np.inf) for ids, _ in blocks]
+        for b in batches:
+            lengths = np.asarray(pc.fill_null(b.column(1).value_lengths(), -1))
+            rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for n, (ids, q) in enumerate(blocks):
+                d = q.shape[1]
+                if d not in rows:
                     at = np.flatnonzero(lengths == d)
-                    if not len(at):
-                        continue
-                    v = np.array(col.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, d)
+                    v = np.array(b.column(1).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, d)
                     good = ~np.isnan(v).any(1)
-                    at, v = at[good], v[good]
-                    if not len(at):
-                        continue
-                    sc = _scores(metric, q, v)
-                    if digits is not None:
-                        sc = np.round(sc, digits) + 0.0
-                    key = -sc if up else sc
-                    if len(at) > k:  # keep every row that ties with the k-th
-                        kth = np.partition(key, k - 1, axis=1)[:, k - 1 : k]
-                        qi, vi = np.nonzero(key <= kth)
-                    else:
-                        qi, vi = np.nonzero(np.ones_like(key, bool))
-                    yield pa.RecordBatch.from_arrays([pa.array(qid[qi]), b.column(0).take(pa.array(at[vi])), pa.array(sc[qi, vi])], names=["query_id", "id", "score"])
-
-        parts.append(records.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(search, schema))
-    if not parts:
+                    rows[d] = at[good], v[good]
+                at, v = rows[d]
+                if not len(at):
+                    continue
+                sc = _scores(metric, q, v)
+                if digits is not None:
+                    sc = np.round(sc, digits) + 0.0
+                key = -sc if up else sc
+                if len(at) > k:
+                    best[n] = np.partition(np.concatenate([best[n], np.partition(key, k - 1, axis=1)[:, :k]], axis=1), k - 1, axis=1)[:, :k]
+                    worst[n] = best[n].max(1)
+                qi, vi = np.nonzero(key <= worst[n][:, None])  # every row that ties with the k-th stays
+                if len(qi):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[qi]), b.column(0).take(pa.array(at[vi])), pa.array(sc[qi, vi])], names=["query_id", "id", "score"])
+
+    if not blocks:
         return records.sparkSession.createDataFrame([], f"query_id BIGINT, rank BIGINT, id {id_type}, score DOUBLE")
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.union(p)
+    found = records.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(search, f"query_id BIGINT, id {id_type}, score DOUBLE")
     return top_k(found, k, higher_is_better=up)
 
 

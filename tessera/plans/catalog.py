@@ -144,8 +144,9 @@ _HYBRID = f"WITH {_BASE}, {_OKAPI.format(k=TOP)}, {_SPARSE_BASE}, {_SPARSE.forma
 
 def hybrid(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """Both keyword rankings of the documents, fused: ``(query_id, rank, id, score)``."""
-    a = keyword.okapi(docs, queries, k, id_col="doc_id", digits=6)
-    b = keyword.sparse_idf(docs, queries, k, id_col="doc_id", digits=6)
+    corpus = keyword.tokenized(docs, id_col="doc_id")
+    a = keyword.okapi(docs, queries, k, digits=6, corpus=corpus)
+    b = keyword.sparse_idf(docs, queries, k, digits=6, corpus=corpus)
     return fusion.rrf(fusion.as_lanes(a, b), digits=9).withColumn("id", F.col("id").cast("bigint"))
 
 

@@ -69,6 +69,16 @@ def test_html_images():
     assert html.decode_data_uri("data:,a%20b") == (b"a b", "text/plain")
 
 
+def test_html_protocols_and_depth():
+    page = '<p><a href="tel:+1">call</a> <a href="file:///etc/passwd">file</a> <a href="JavaScript:x">js</a> <a href="mailto:a@b.c">mail</a></p>'
+    assert html.convert(page)["markdown"] == "[call](tel:+1) file js [mail](mailto:a@b.c)"
+    r = html.convert('<img src="DATA:Image/PNG;BASE64,aGk=" alt="x">')
+    assert r["images"][0]["content"] == b"hi" and r["images"][0]["mime"] == "image/png" and r["images"][0]["path"].endswith(".png")
+    for n in (1_000, 10_000):
+        r = html.convert("<div>" * n + "deep bold" + "</div>" * n + "<p>after</p>")
+        assert r["text"] == "deep bold after" and r["markdown"] == "deep bold\n\nafter"
+
+
 def test_html_table_and_files(spark, tmp_path):
     df = spark.createDataFrame([("a", f"<p>x</p><img src='{URI}'>"), ("b", None), ("c", "")], "doc_key STRING, html STRING")
     r = html.html_to_result(df)
