@@ -34,7 +34,7 @@ DIM = 64
 K, LEAST, CROWD = 5, 0.9, 20
 #: Vectors of a list as planned, most lists (their centroids travel to all tasks: 4 MB), and rows of the sample: this many, or
 #: ``PER_LIST`` for each list.
-LIST, LISTS, SAMPLE, PER_LIST = 4096, 16_384, 32_768, 16
+LIST, LISTS, SAMPLE, PER_LIST = 2048, 16_384, 32_768, 16
 #: Share of the sample's true neighbours that the lists asked must hold, with a least cosine and without one.
 SURE, USUAL = 0.999, 0.98
 #: Half width of a window in standard deviations of the projections' difference at the cosine that it stands for; the cosines
@@ -271,23 +271,39 @@ class Cell:
         p = self.v @ self.turn
         order = np.argsort(p, axis=0)
         self.sorted = np.take_along_axis(p, order, 0)
-        self.place = np.empty((DIM, len(h)), np.uint32 if len(h) >= 1 << 16 else np.uint16)
-        np.put_along_axis(self.place, order.T, np.broadcast_to(np.arange(len(h), dtype=self.place.dtype), (DIM, len(h))), 1)
+        # places in the arrays by runs of at most 256, to compare them as bytes; windows are widened to whole runs
+        self.run = -(-len(h) // 256)
+        self.place = np.empty((DIM, len(h)), np.uint8)
+        np.put_along_axis(self.place, order.T, np.broadcast_to((np.arange(len(h)) // self.run).astype(np.uint8), (DIM, len(h))), 1)
 
-    def collisions(self, q: np.ndarray, cosine: float) -> np.ndarray:
-        """Which vectors lie in so many windows of each query that they may have that cosine: all that have it do."""
+    def windows(self, q: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """First run and number of further runs of each query's window in each array, which of them are empty, and the threshold."""
         d2 = 2 - 2 * cosine + 1e-5
         w = WIDTH * np.sqrt(d2 / DIM)
         p = q @ self.turn
-        seen = np.zeros((len(q), len(self.h)), np.uint8)
-        off, inside = np.empty(seen.shape, self.place.dtype), np.empty(seen.shape, bool)
+        first, last = np.empty((DIM, len(q)), np.int64), np.empty((DIM, len(q)), np.int64)
         for j in range(DIM):
-            lo = np.searchsorted(self.sorted[:, j], p[:, j] - w, "left")
-            n = np.searchsorted(self.sorted[:, j], p[:, j] + w, "right") - lo
-            np.subtract(self.place[j][None, :], lo.astype(self.place.dtype)[:, None], out=off)  # below the window it wraps to a large number
-            np.less(off, n.astype(self.place.dtype)[:, None], out=inside)
-            np.add(seen, inside.view(np.uint8), out=seen)
-        return seen >= DIM - int(d2 / w**2 + 1e-9)
+            first[j] = np.searchsorted(self.sorted[:, j], p[:, j] - w, "left")
+            last[j] = np.searchsorted(self.sorted[:, j], p[:, j] + w, "right") - 1
+        lo, hi = np.minimum(first // self.run, 255), np.maximum(last, 0) // self.run
+        return lo.astype(np.uint8)[:, :, None], (hi - lo).astype(np.uint8)[:, :, None], last < first, DIM - int(d2 / w**2 + 1e-9)
+
+    def collisions(self, q: np.ndarray, cosine: float) -> Iterator[np.ndarray]:
+        """A tile after the other, which vectors lie in so many windows of each query that they may have that cosine: all that have it do."""
+        lo, n, empty, least = self.windows(q, cosine)
+        seen = np.empty((TILE, len(self.h)), np.uint8)
+        off, inside = np.empty(seen.shape, np.uint8), np.empty(seen.shape, bool)
+        as_bytes, hollow = inside.view(np.uint8), empty.any()
+        for s in range(0, len(q), TILE):
+            m = min(TILE, len(q) - s)
+            seen[:] = 0
+            for j in range(DIM):
+                np.subtract(self.place[j], lo[j, s : s + m], out=off[:m])  # before the window it wraps to a large number
+                np.less_equal(off[:m], n[j, s : s + m], out=inside[:m])
+                if hollow:
+                    inside[:m][empty[j, s : s + m]] = False
+                np.add(seen[:m], as_bytes[:m], out=seen[:m])
+            yield seen[:m] >= least
 
     def verified(self, qh: np.ndarray, q: np.ndarray, may: np.ndarray | None, least: float):
         """Query, vector and rounded cosine of the pairs in ``may`` (all where it is None) that reach ``least``; not a vector with itself."""
@@ -324,36 +340,41 @@ def _nearest(k: int, least: float | None):
 
     def visit(cell: Cell, qh: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
         for level in levels:
-            if not len(q):
-                return
             if level is None:  # windows so wide hold all; only those that may be among the k best are verified
-                low = cell.kth(q, k)
-                hit = q.astype(np.float32) @ cell.v4.T >= low[:, None].astype(np.float32)
-                r, j, c = cell.verified(qh, q, hit, -2.0)
+                low = cell.kth(q, k).astype(np.float32)[:, None]
+                tiles = (q[s : s + TILE].astype(np.float32) @ cell.v4.T >= low[s : s + TILE] for s in range(0, len(q), TILE))
             else:
-                r, j, c = cell.verified(qh, q, cell.collisions(q, level), level)
-            r, j, c, rank = _ordered(r, j, c, k)
-            closed = np.ones(len(q), bool)
-            if level is not levels[-1]:
-                closed[:] = False
-                closed[r[rank == k - 1]] = True
-            ok = closed[r]
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(qh[r[ok]]), cell.names.take(pa.array(j[ok])), pa.array(c[ok])], names=["h", "other", "cosine"])
+                tiles = cell.collisions(q, level)
+            closed = np.zeros(len(q), bool)
+            s = 0
+            for may in tiles:
+                own = slice(s, s := s + len(may))
+                r, j, c, rank = _ordered(*cell.verified(qh[own], q[own], may, -2.0 if level is None else level), k)
+                done = np.full(len(may), level is levels[-1])
+                done[r[rank == k - 1]] = True
+                closed[own] = done
+                ok = done[r]
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(qh[own][r[ok]]), cell.names.take(pa.array(j[ok])), pa.array(c[ok])], names=["h", "other", "cosine"])
             qh, q = qh[~closed], q[~closed]
+            if not len(q):
+                return
 
     return visit
 
 
 def _counted(least: float):
     def visit(cell: Cell, qh: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
-        r, j, _ = cell.verified(qh, q, cell.collisions(q, least), least)
-        if len(r):
-            n = np.bincount(r, weights=cell.size[j], minlength=len(q)).astype(np.int64)
-            low = np.full(len(q), np.iinfo(np.int64).max)
-            np.minimum.at(low, r, cell.h[j])
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(qh[at]), pa.array(n[at]), pa.array(low[at])], names=["h", "n", "low"])
+        s = 0
+        for may in cell.collisions(q, least):
+            own = slice(s, s := s + len(may))
+            r, j, _ = cell.verified(qh[own], q[own], may, least)
+            if len(r):
+                n = np.bincount(r, weights=cell.size[j], minlength=len(may)).astype(np.int64)
+                low = np.full(len(may), np.iinfo(np.int64).max)
+                np.minimum.at(low, r, cell.h[j])
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(qh[own][at]), pa.array(n[at]), pa.array(low[at])], names=["h", "n", "low"])
 
     return visit
 
@@ -375,8 +396,8 @@ def _visited(visit: Callable):
             return Cell(t["h"].to_numpy(), t["name"].combine_chunks(), t["size"].to_numpy(), own["v"][np.searchsorted(own["h"], t["h"].to_numpy())])
 
         def asked(cell: Cell, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for s in range(0, len(x), TILE):
-                yield from visit(cell, x["h"][s : s + TILE], x["v"][s : s + TILE])
+            for s in range(0, len(x), 32 * TILE):
+                yield from visit(cell, x["h"][s : s + 32 * TILE], x["v"][s : s + 32 * TILE])
 
         stream = (x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True))
         for _, parts in itertools.groupby(stream, key=lambda x: x[0]):
