@@ -10,6 +10,7 @@ density lies under the least density on its path to the body are left out.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -18,6 +19,7 @@ from html.entities import html5
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.html import Node, parse
 from tessera.session import table
@@ -38,43 +40,48 @@ BROKEN_TAG = re.compile(
     rf"|(?<![<\w:/])/(?:{_NAME})>",  # an end tag without its first sign
     re.I | re.M,
 )
-COMMENT = re.compile(r"<!--.*?(?:-->|$)|<!doctype[^>]*>|<\?xml.*?\?>|<!\[CDATA\[|(?<!-)-->", re.S | re.I)
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!doctype[^<>]*>|<\?xml(?:(?!<\?xml).)*?\?>|<!\[CDATA\[|(?<!-)-->", re.S | re.I)
 ENTITY = re.compile(r"&(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
 
+#: Each pattern beside a sign without which it cannot match. None scans beyond the next sign that could begin it anew, so that
+#: the time stays in proportion to the text.
 WIKI = [
-    re.compile(r"'''(?!')[^'\n][^\n]*?'''|(?<!')''(?!')[^'\n]+?''(?!')"),
-    re.compile(r"\[\[[^\[\]\n|]+(?:\|[^\[\]\n]*)*\]\]"),
-    re.compile(r"\{\{\s*[A-Za-z#À-ž:][^{}]*?(?:\|[^{}]*)?\}\}"),
-    re.compile(r"^[ \t]*\{\|.*$|^[ \t]*\|\}[ \t]*$", re.M),
-    re.compile(r"^={2,6}[ \t]*[^=\n](?:[^\n]*[^=\n])?[ \t]*={2,6}[ \t]*$", re.M),
-    re.compile(r"__[A-Z]{3,}__"),
-    re.compile(r"\[(?:https?|ftp)://[^\s\]]+ [^\]\n]+\]"),
-    re.compile(r"</?(?:ref|nowiki|gallery|noinclude|includeonly)\b[^>]*>", re.I),
-    re.compile(r"^#REDIRECT\b", re.M),
+    ("''", re.compile(r"'''(?!')[^'\n][^\n]*?'''|(?<!')''(?!')[^'\n]+?''(?!')")),
+    ("[[", re.compile(r"\[\[[^\[\]\n|]+(?:\|[^\[\]\n]*)*\]\]")),
+    ("{{", re.compile(r"\{\{\s*[A-Za-z#À-ž:][^{}]*\}\}")),
+    ("|", re.compile(r"^[ \t]*\{\|.*$|^[ \t]*\|\}[ \t]*$", re.M)),
+    ("==", re.compile(r"^={2,6}[^=\n][^\n]*={2}[ \t]*$", re.M)),
+    ("__", re.compile(r"__[A-Z]{3,}__")),
+    ("://", re.compile(r"\[(?:https?|ftp)://[^\s\[\]]+ [^\[\]\n]+\]")),
+    ("<", re.compile(r"</?(?:ref|nowiki|gallery|noinclude|includeonly)\b[^<>]*>", re.I)),
+    ("#REDIRECT", re.compile(r"^#REDIRECT\b", re.M)),
 ]
 
-_BRACES = r"\{(?:[^{}]|\{[^{}]*\})*\}"
-MATH_BLOCK = re.compile(r"\$\$(?=\S)[^$]+?\$\$|\\\[(?!\s*\])(?:(?!\\\]).)+\\\]", re.S)
-MATH_INLINE = re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*(?<=[^\s$\\]))\$(?![\d$])|\\\((.+?)\\\)")
-TEX_COMMAND = re.compile(rf"\\[a-zA-Z]+\*?(?:\[[^\]\n]*\])?{_BRACES}|\\(?:begin|end)\s*\{{")
+MATH_BLOCK = re.compile(r"\$\$(?=\S)[^$]+?\$\$|\\\[(?!\s*\])(?:(?!\\[\[\]]).)+\\\]", re.S)
+MATH_INLINE = re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*(?<=[^\s$\\]))\$(?![\d$])|\\\(((?:(?!\\[()]).)+)\\\)")
+TEX_HEAD = re.compile(r"\\([a-zA-Z]+)\*?(?:\[[^\[\]\n]*\])?\{")
+TEX_ENVIRONMENT = re.compile(r"\\(?:begin|end)\s*\{")
+_BRACE = re.compile(r"(?<!\\)[{}]")
 TEX_SIGN = re.compile(r"\\[a-zA-Z]+|[\^_=<>+]|^[a-zA-Z]$|\w\(|\d\s*[*/]\s*[a-zA-Z]")
 
+_LINK = r"\((?:[^()\s]|\([^()\s]*\))+(?:\s+\"[^\"\n]*\")?\)"
+_LABEL = r"\[(?:[^\[\]\n]|\[[^\[\]\n]*\])+\]"
 MARKDOWN = [
-    re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M),
-    re.compile(r"(?<![*\w])\*\*(?=\S)[^*\n]+?\S?\*\*(?![*\w])"),
-    re.compile(r"(?<![*\w\\])\*(?=[^\s*])[^*\n]*[^\s*]\*(?![*\w])"),
-    re.compile(r"(?<![_\w])__(?=[^\s_])(?![A-Z]+__)[^\n]+?(?<=[^\s_])__(?![_\w])"),
-    re.compile(r"(?<![_\w\\])_(?=[^\s_])[^_\n]*[^\s_]_(?![_\w])"),
-    re.compile(r"~~(?=\S)[^~\n]+~~"),
-    re.compile(r"^ {0,3}(?:```|~~~)", re.M),
-    re.compile(r"(?<!`)`[^`\n]+`(?!`)"),
-    re.compile(r"!\[[^\]\n]*\]\([^)\n]*\)|(?<!!)\[[^\]\n]+\]\((?:[^)\s]+)(?:\s+\"[^\"]*\")?\)"),
-    re.compile(r"\[[^\[\]\n]+\]\[[^\[\]\n]*\]|^ {0,3}\[[^\]\n]+\]:\s*\S|\[\^[^\]\s]+\]", re.M),
-    re.compile(r"^[ \t]*[-*+] \[[ xX]\]\s", re.M),
-    re.compile(r"^[ \t]*(?=[|:-])(?=[^\n]*\|)(?=[^\n]*---)[|:\- \t]+$", re.M),
-    re.compile(r"(?<=\S\n) {0,3}(?:={3,}|-{3,})[ \t]*$", re.M),
-    re.compile(r"^ {0,3}>+ \S", re.M),
-    re.compile(r"<(?:https?|mailto|ftp):[^\s<>]+>"),
+    ("#", re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M)),
+    ("**", re.compile(r"(?<![*\w])\*\*(?=\S)[^*\n]+?\S?\*\*(?![*\w])")),
+    ("*", re.compile(r"(?<![*\w\\])\*(?=[^\s*])[^*\n]*[^\s*]\*(?![*\w])")),
+    ("__", re.compile(r"(?<![_\w])__(?=[^\s_])(?![A-Z]+__)(?:[^_\n]|_(?!_))+?(?<=[^\s_])__(?![_\w])")),
+    ("_", re.compile(r"(?<![_\w\\])_(?=[^\s_])[^_\n]*[^\s_]_(?![_\w])")),
+    ("~~", re.compile(r"~~(?=\S)[^~\n]+~~")),
+    ("", re.compile(r"^ {0,3}(?:```|~~~)", re.M)),
+    ("`", re.compile(r"(?<!`)`[^`\n]+`(?!`)")),
+    ("](", re.compile(rf"!\[[^\[\]\n]*\]\((?:[^()\n]|\([^()\n]*\))*\)|(?<!!){_LABEL}{_LINK}")),
+    ("[", re.compile(r"\[[^\[\]\n]+\]\[[^\[\]\n]*\]|^ {0,3}\[[^\[\]\n]+\]:\s*\S|\[\^[^\[\]\s]+\]", re.M)),
+    ("] ", re.compile(r"^[ \t]*[-*+] \[[ xX]\]\s", re.M)),
+    ("---", re.compile(r"^[ \t]*(?=[|:-])(?=[^\n]*\|)(?=[^\n]*---)[|:\- \t]+$", re.M)),
+    ("", re.compile(r"(?<=\S\n) {0,3}(?:={3,}|-{3,})[ \t]*$", re.M)),
+    (">", re.compile(r"^ {0,3}>+ \S", re.M)),
+    ("<", re.compile(r"<(?:https?|mailto|ftp):[^\s<>]+>")),
 ]
 
 FENCE = re.compile(r"^( {0,3})(`{3,}|~{3,})[^\n`]*\n(?:.*?\n)?? {0,3}\2[`~]*[ \t]*$|^( {0,3})(`{3,}|~{3,})[^\n`]*\n.*\Z", re.M | re.S)
@@ -99,10 +106,32 @@ def _has_entity(t: str) -> bool:
     return any(m[1][0] == "#" or m[1] + ";" in html5 for m in ENTITY.finditer(t))
 
 
+def _groups(t: str) -> dict[int, int]:
+    """Position of each opening brace that is closed, and of its closing one."""
+    out, open_ = {}, []
+    for m in _BRACE.finditer(t):
+        if m[0] == "{":
+            open_.append(m.start())
+        elif open_:
+            out[open_.pop()] = m.start()
+    return out
+
+
+def _has_command(t: str) -> bool:
+    if TEX_ENVIRONMENT.search(t):
+        return True
+    if not TEX_HEAD.search(t):
+        return False
+    closed = _groups(t)
+    return any(m.end() - 1 in closed for m in TEX_HEAD.finditer(t))
+
+
 def _outside_code(t: str) -> str:
-    t = FENCE.sub(" ", t)
-    t = CODE.sub(" ", t)
-    return AUTOLINK.sub(" ", t)
+    if "```" in t or "~~~" in t:
+        t = FENCE.sub(" ", t)
+    if "`" in t:
+        t = CODE.sub(" ", t)
+    return AUTOLINK.sub(" ", t) if "<" in t else t
 
 
 def scan(text: str | None, markdown_field: bool = False) -> list[str]:
@@ -113,14 +142,15 @@ def scan(text: str | None, markdown_field: bool = False) -> list[str]:
     if markdown_field:
         t = _outside_code(t)
     found = []
-    tex = t
-    if TAG.search(t) or BROKEN_TAG.search(t) or COMMENT.search(t) or _has_entity(t):
+    angle = "<" in t or ">" in t
+    if (angle and (TAG.search(t) or BROKEN_TAG.search(t) or COMMENT.search(t))) or ("&" in t and _has_entity(t)):
         found.append("html")
-    if TEX_COMMAND.search(tex) or _has_math(tex):
+    slash = "\\" in t
+    if (slash and _has_command(t)) or ((slash or "$" in t) and _has_math(t)):
         found.append("latex")
-    if not markdown_field and any(p.search(t) for p in MARKDOWN):
+    if not markdown_field and any(sign in t and p.search(t) for sign, p in MARKDOWN):
         found.append("markdown")
-    if any(p.search(t) for p in WIKI):
+    if any(sign in t and p.search(t) for sign, p in WIKI):
         found.append("wiki")
     return found
 
@@ -215,8 +245,24 @@ def _html_text(node: Node | str, dropped: set[int]) -> str:
     return f"\n{inner.strip()}\n" if node.tag in _BLOCKS else inner
 
 
+_HIDDEN = re.compile(r"<(script|style)\b[^<>]*>", re.I)
+
+
+def _without(t: str) -> str:
+    """The text without scripts and styles that are closed; each end is looked for once."""
+    out, at, ends = [], 0, {k: [m.span() for m in re.finditer(rf"</{k}\s*>", t, re.I)] for k in ("script", "style")} if "<" in t else {}
+    starts = {k: [x for x, _ in v] for k, v in ends.items()}
+    for m in _HIDDEN.finditer(t) if ends else ():
+        k = m[1].lower()
+        n = bisect.bisect_left(starts[k], m.end())
+        if m.start() >= at and n < len(starts[k]):
+            out.append(t[at : m.start()])
+            at = ends[k][n][1]
+    return "".join([*out, t[at:]])
+
+
 def _strip_html(t: str) -> str:
-    t = re.sub(r"<(script|style)\b[^>]*>.*?</\1\s*>", "", t, flags=re.S | re.I)
+    t = _without(t)
     t = COMMENT.sub("", t)
     if TAG.search(t):
         # signs that are no tag stay text for the parser
@@ -238,58 +284,92 @@ def _template(m: re.Match) -> str:
     return " ".join(p.split("=", 1)[1].strip() if re.match(r"\w+\s*=", p) else p for p in parts[1:])
 
 
+def _heading(m: re.Match) -> str:
+    line = m[0].rstrip()
+    n = min(len(line) - len(line.lstrip("=")), len(line) - len(line.rstrip("=")), 6)
+    return "#" * n + " " + line[n:-n].strip()
+
+
 def _strip_wiki(t: str) -> str:
     t = re.sub(r"^[ \t]*\{\|.*$|^[ \t]*\|\}[ \t]*$|^\|-+.*$", "", t, flags=re.M)
     t = re.sub(r"^! *(?=\S)", "", t, flags=re.M)
-    t = WIKI[2].sub(_template, t)
+    t = WIKI[2][1].sub(_template, t)
     t = re.sub(r"^\| (?![^\n]*\|\s*$)", "", t, flags=re.M)
     t = re.sub(r"\[\[(?:Category|Kategorie|Categoria|Categoría|File|Image):[^\[\]\n]*\]\]", "", t, flags=re.I)
     t = re.sub(r"\[\[([^\[\]\n|]+)(?:\|([^\[\]\n]*))?\]\]", lambda m: m[2] or m[1], t)
-    t = WIKI[6].sub(lambda m: m[0][1:-1].split(" ", 1)[1], t)
-    t = re.sub(r"^(={2,6})[ \t]*([^=\n](?:[^\n]*[^=\n])?)[ \t]*\1[ \t]*$", lambda m: "#" * len(m[1]) + " " + m[2].strip(), t, flags=re.M)
+    t = WIKI[6][1].sub(lambda m: m[0][1:-1].split(" ", 1)[1], t)
+    t = WIKI[4][1].sub(_heading, t)
     t = re.sub(r"'''(?!')([^\n]+?)'''", r"\1", t)
     t = re.sub(r"(?<!')''(?!')([^'\n]+?)''(?!')", r"\1", t)
-    t = WIKI[7].sub("", t)
-    return WIKI[5].sub("", t)
+    t = WIKI[7][1].sub("", t)
+    return WIKI[5][1].sub("", t)
 
 
 _DEPTH = {"section": 1, "subsection": 2, "subsubsection": 3, "chapter": 1, "paragraph": 4}
 
 
+#: Commands that leave nothing but what stands before them.
+_SILENT = frozenset("cite citep citet label index ref eqref pageref autoref".split())
+
+
+def _plain_commands(t: str) -> str:
+    """Commands with arguments in braces give way to their arguments, whatever lies nested in them, in one pass."""
+    heads = {m.end() - 1: m for m in TEX_HEAD.finditer(t)}
+    if not heads:
+        return t
+    closed = _groups(t)
+    events = sorted([(m.start(), m.end(), at, m[1]) for at, m in heads.items() if at in closed])
+    ends = {closed[at]: True for _, _, at, _ in events}
+    out: list[list[str]] = [[]]
+    names: list[str] = []
+    at, e = 0, 0
+    for end in sorted([x[0] for x in events] + list(ends)):
+        out[-1].append(t[at:end])
+        if e < len(events) and events[e][0] == end:
+            names.append(events[e][3])
+            at, e = events[e][1], e + 1
+            out.append([])
+            continue
+        body, name = "".join(out.pop()), names.pop()
+        at = end + 1
+        if name in _SILENT:
+            if out[-1]:
+                out[-1][-1] = out[-1][-1].removesuffix("~").removesuffix(" ") if name not in ("ref", "eqref", "pageref", "autoref") else out[-1][-1].removesuffix("~")
+        elif name in _DEPTH:
+            out[-1].append("#" * _DEPTH[name] + " " + body)
+        else:
+            out[-1].append(f" ({body})" if name == "footnote" else body)
+    return "".join([*out[0], t[at:]])
+
+
 def _strip_latex(t: str, put) -> str:
+    if "\\" not in t and "$" not in t:
+        return t
+
     def formula(body: str, block: bool) -> str:
         return put(f"\n$$\n{body.strip()}\n$$\n" if block else f"${body.strip()}$")
 
-    t = re.sub(r"\\begin\{(equation|align|gather|displaymath|math)(\*?)\}(.*?)\\end\{\1\2\}", lambda m: formula(m[3], True), t, flags=re.S)
+    t = re.sub(r"\\begin\{(equation|align|gather|displaymath|math)(\*?)\}((?:(?!\\begin\{\1\2\}).)*?)\\end\{\1\2\}", lambda m: formula(m[3], True), t, flags=re.S)
     t = MATH_BLOCK.sub(lambda m: formula(m[0][2:-2], True) if _is_math(m[0][2:-2]) else m[0], t)
     t = MATH_INLINE.sub(lambda m: formula(m[1] if m[1] is not None else m[2], False) if _is_math(m[1] if m[1] is not None else m[2]) else m[0], t)
-    t = re.sub(r"\\begin\{(verbatim|lstlisting)\}(.*?)\\end\{\1\}", lambda m: put(f"\n```\n{m[2].strip(chr(10))}\n```\n"), t, flags=re.S)
+    t = re.sub(r"\\begin\{(verbatim|lstlisting)\}((?:(?!\\begin\{\1\}).)*?)\\end\{\1\}", lambda m: put(f"\n```\n{m[2].strip(chr(10))}\n```\n"), t, flags=re.S)
     t = re.sub(r"^[ \t]*\\item\b[ \t]*", "- ", t, flags=re.M)
-    t = re.sub(r"[ \t]*\\(?:begin|end)\s*\{[^}\n]*\}(?:\[[^\]\n]*\])?[ \t]*\n?", "", t)
-    t = re.sub(rf"\\({'|'.join(_DEPTH)})\*?({_BRACES})", lambda m: "#" * _DEPTH[m[1]] + " " + m[2][1:-1], t)
-    t = re.sub(rf"[~ ]?\\(?:cite[pt]?|label|index)\*?(?:\[[^\]]*\])?{_BRACES}", "", t)
-    t = re.sub(rf"~?\\(?:eq|page|auto)?ref{_BRACES}", "", t)
-    for _ in range(4):  # nested arguments
-        new = re.sub(rf"\\footnote({_BRACES})", lambda m: f" ({m[1][1:-1]})", t)
-        new = re.sub(rf"\\[a-zA-Z]+\*?(?:\[[^\]\n]*\])?({_BRACES})", lambda m: m[1][1:-1], new)
-        if new == t:
-            break
-        t = new
-    return t
+    t = re.sub(r"(?<![ \t])[ \t]*\\(?:begin|end)\s*\{[^{}\n]*\}(?:\[[^\[\]\n]*\])?[ \t]*\n?", "", t)
+    return _plain_commands(t)
 
 
 def _strip_markdown(t: str) -> str:
-    t = re.sub(r"!\[([^\]\n]*)\]\([^)\n]*\)", r"\1", t)
-    t = re.sub(r"\[([^\]\n]+)\]\((?:[^)\s]+)(?:\s+\"[^\"]*\")?\)", r"\1", t)
+    t = re.sub(r"!\[([^\[\]\n]*)\]\((?:[^()\n]|\([^()\n]*\))*\)", r"\1", t)
+    t = re.sub(rf"({_LABEL}){_LINK}", lambda m: m[1][1:-1], t)
     t = re.sub(r"\[([^\[\]\n]+)\]\[[^\[\]\n]*\]", r"\1", t)
-    t = re.sub(r"^ {0,3}\[\^([^\]\s]+)\]:\s*", r"\1: ", t, flags=re.M)
-    t = re.sub(r"^ {0,3}\[[^\]\n^]+\]:\s*\S+[^\n]*\n?", "", t, flags=re.M)
-    t = re.sub(r"\[\^[^\]\s]+\]", "", t)
+    t = re.sub(r"^ {0,3}\[\^([^\[\]\s]+)\]:\s*", r"\1: ", t, flags=re.M)
+    t = re.sub(r"^ {0,3}\[[^\[\]\n^]+\]:\s*\S+[^\n]*\n?", "", t, flags=re.M)
+    t = re.sub(r"\[\^[^\[\]\s]+\]", "", t)
     t = re.sub(r"(?<![*\w])\*\*(?=\S)([^*\n]+?)\*\*(?![*\w])", r"\1", t)
     t = re.sub(r"(?<![*\w\\])\*(?=[^\s*])([^*\n]*[^\s*])\*(?![*\w])", r"\1", t)
     t = re.sub(r"~~(?=\S)([^~\n]+)~~", r"\1", t)
     t = re.sub(r"^([ \t]*)[-*+] \[[ xX]\][ \t]+", r"\1- ", t, flags=re.M)
-    t = re.sub(MARKDOWN[11].pattern + r"\n?", "", t, flags=re.M)
+    t = re.sub(MARKDOWN[11][1].pattern + r"\n?", "", t, flags=re.M)
     t = re.sub(r"^([^\n]*)(?<=\S)\n {0,3}={3,}[ \t]*$", r"# \1", t, flags=re.M)
     t = re.sub(r"^([^\n]*)(?<=\S)\n {0,3}-{3,}[ \t]*$", r"## \1", t, flags=re.M)
     return t
@@ -336,14 +416,32 @@ def markup_residue(results: DataFrame) -> DataFrame:
     rows are treated each for itself.
     """
 
-    @F.pandas_udf("struct<kinds: array<string>, cleaned: string>")
-    def run(text: pd.Series, markdown: pd.Series) -> pd.DataFrame:
-        rows = [(scan(t, m), clean(t, m)) for t, m in zip(text, markdown, strict=True)]
-        return pd.DataFrame(rows, columns=["kinds", "cleaned"])
+    r = _fields(results)
+    return r.select("doc_key", "field_name", _scanned("t", F.col("field_name") == "markdown").alias("kinds"), _cleaned("t", F.col("field_name") == "markdown").alias("cleaned"))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _scanned(text: pd.Series, markdown: pd.Series) -> pd.Series:
+    return pd.Series([scan(t, m) for t, m in zip(text, markdown, strict=True)], dtype=object)
 
+
+@F.pandas_udf(T.StringType())
+def _cleaned(text: pd.Series, markdown: pd.Series) -> pd.Series:
+    return pd.Series([clean(t, m) for t, m in zip(text, markdown, strict=True)], dtype=object)
+
+
+def _fields(results: DataFrame) -> DataFrame:
     both = F.array(F.struct(F.lit("text").alias("f"), F.col("text").alias("t")), F.struct(F.lit("markdown").alias("f"), F.col("markdown").alias("t")))
-    r = results.select("doc_key", F.explode(both).alias("x")).select("doc_key", F.col("x.f").alias("field_name"), run("x.t", F.col("x.f") == "markdown").alias("r"))
-    return r.select("doc_key", "field_name", "r.kinds", "r.cleaned")
+    return results.select("doc_key", F.explode(both).alias("x")).select("doc_key", F.col("x.f").alias("field_name"), F.col("x.t").alias("t"))
+
+
+def residue_kinds(results: DataFrame) -> DataFrame:
+    """``doc_key, field_name, markup``: a row for each kind of markup in a field, without cleaning it.
+
+    Texts without any of the signs that markup is made of never reach Python. Null, empty and blank texts give no row.
+    """
+    r = _fields(results).filter(F.col("t").rlike(r"[<>&\\$'\[{}|_#*~`]|---|==="))
+    return r.select("doc_key", "field_name", F.explode(_scanned("t", F.col("field_name") == "markdown")).alias("markup"))
 
 
 def p6_clean(spark, sf_dir: str) -> DataFrame:
@@ -351,5 +449,4 @@ def p6_clean(spark, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark, sf_dir: str) -> DataFrame:
-    r = markup_residue(table(spark, sf_dir, "preprocess_results"))
-    return r.select("doc_key", "field_name", F.explode("kinds").alias("markup")).distinct()
+    return residue_kinds(table(spark, sf_dir, "preprocess_results")).distinct()

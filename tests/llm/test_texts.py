@@ -68,6 +68,24 @@ PLAIN = [
 ]
 
 
+def test_deep_and_hostile_texts_stay_linear():
+    import time
+
+    for t in ("<div>" * 10_000 + "x" + "</div>" * 10_000, "[a" * 500_000, "\\a{" * 100_000, "{{a|" * 100_000, "<script>" * 50_000, "[^a" * 100_000, "== a" + " " * 300_000, "\\(a" * 100_000, "<ref" * 100_000):
+        began = time.process_time()
+        markup.scan(t)
+        assert markup.clean(t) is not None
+        assert time.process_time() - began < 20
+    assert markup.scan("<div>" * 10_000) == ["html"] and "x" in markup.clean("<div>" * 10_000 + "x")
+
+
+def test_braces_of_any_depth():
+    t = r"\textbf{a \emph{b {c {d}}} e} and \section{One \emph{two}} see~\cite{x} \footnote{f}"
+    assert markup.scan(t) == ["latex"]
+    assert markup.clean(t) == "a b {c {d}} e and # One two see  (f)"
+    assert markup.clean(r"\textbf{open") == r"\textbf{open" and markup.scan(r"\textbf{open") == []
+
+
 def test_lookalikes_are_left_alone():
     for t in PLAIN:
         assert markup.scan(t) == [] and markup.clean(t) == t, t
