@@ -23,6 +23,8 @@ from tessera.session import table
 RESULT_LIMIT, CHUNK_LIMIT, OVERLAP = 3000, 900, 120
 #: The signs that count as blank.
 BLANKS = " \t\r\n\u00a0"
+#: Sections, paragraphs, items and lines are nodes of the tree, sentences and words are not.
+_STRUCTURE = 4
 _HEADING = re.compile(r"^(?:(#{1,6})[ \t]|(={2,6})[^=\n]+={2,6}[ \t]*$|\\(section|subsection|subsubsection)\*?\{|<h([1-6])\b)", re.M | re.I)
 _PARAGRAPH = re.compile(r"(?:\r\n|\r|\n)[ \t\u00a0]*(?:\r\n|\r|\n)[\s\u00a0]*")
 _ITEM = re.compile(r"(?:\r\n|\r|\n)(?=[ \t]*(?:[-*+•]|\d+[.)]|\\item|\|)[ \t\\])")
@@ -61,7 +63,7 @@ class _Text:
         self.cuts: list[list[int] | None] = [None] * 5
 
     def size(self, a: int, b: int) -> int:
-        """At least the measured size of ``text[a:b]``, and at most one more than it for each end in blanks."""
+        """At least the measured size of ``text[a:b]``, and at most one more than it for an end in blanks; blanks at the start of the text count nothing."""
         return int(self.kept[b] - self.kept[a])
 
     def level(self, k: int) -> list[int]:
@@ -101,12 +103,16 @@ class _Text:
             return [(a, b)]
         edges = [a, *cuts, b]
         out: list[tuple[int, int]] = []
+        closed = False  # the last unit is the end of an opened node, which takes in no part of the next one
         for x, y in zip(edges, edges[1:], strict=False):
-            for u in self.units(x, y, below, budget):
-                if out and self.size(out[-1][0], u[1]) <= budget:
-                    out[-1] = (out[-1][0], u[1])
-                else:
-                    out.append(u)
+            parts = self.units(x, y, below, budget)
+            whole = len(parts) == 1
+            joins = bool(out) and (below > _STRUCTURE or whole and not closed or self.text[x:y].isspace() or len(out) == 1 and self.text[a : out[0][1]].isspace())
+            if joins and self.size(out[-1][0], parts[0][1]) <= budget:
+                out[-1] = (out[-1][0], parts[0][1])
+                parts = parts[1:]
+            out.extend(parts)
+            closed = not whole
         return out
 
 
@@ -119,7 +125,7 @@ def split_text(text: str, limit: int, overlap: int = 0) -> list[tuple[int, int,
     if limit < 1 or not 0 <= overlap < limit:
         raise ValueError("limit >= 1 and 0 <= overlap < limit must hold")
     t = _Text(text, max(1, limit - overlap))
-    if int(t.kept[-1]) - (1 if text[-1:] and text[-1] in BLANKS else 0) - (1 if text[:1] and text[0] in BLANKS else 0) <= limit:
+    if int(t.kept[-1]) - (1 if text[-1:] and text[-1] in BLANKS else 0) <= limit:
         return [(0, 0, len(text))]
     out: list[tuple[int, int, int]] = []
     for a, b in t.units(0, len(text), 0, limit - overlap):

@@ -36,6 +36,13 @@ def test_cuts_lie_at_the_coarsest_boundary():
     assert all(family[a:b].startswith("👨") for _, a, b in splitting.split_text(family, 12))
 
 
+def test_an_opened_section_takes_in_nothing_of_its_sibling():
+    a, b, c = "# A\n\n" + "one two three four. " * 4 + "\n\n", "# B\n\nfive six.\n\n", "# C\n\nseven eight.\n"
+    got = [(a + b + c)[x:y] for _, x, y in splitting.split_text(a + b + c, 50)]
+    assert got[-1] == b + c and "".join(got[:-1]) == a
+    assert splitting.split_text(" aaaaaaaaa", 8) != [(0, 0, 10)] and splitting.split_text(" aaaaaaaa", 8) == [(0, 0, 9)]
+
+
 def test_split_table(spark):
     rows = [("result", "a", "word " * 100, 50, 10, "x"), ("result", "a", "word " * 100, 50, 10, "x"), ("chunk", "b", "short", 50, 10, "x"), ("chunk", "n", None, 50, 10, "x"), ("chunk", "e", "", 50, 10, "x")]
     got = splitting.split_oversized(spark.createDataFrame(rows, "record_kind STRING, record_id STRING, text STRING, max_size INT, overlap INT, pieces STRING")).collect()
