@@ -20,15 +20,16 @@ from tessera.llm import blocks
 from tessera.llm.shingles import Hasher, runs, words
 from tessera.session import table
 
-#: Words of an item's passage (the least run that counts), of a corpus passage and its step; the same for the fit of the space.
-RUN, WINDOW, STEP = 10, 14, 5
-FIT_WINDOW, FIT_STEP = 20, 10
-#: Features, rank and passes of the latent space.
-FEATURES, RANK, PASSES = 1 << 14, 128, 2
+#: The least run that counts; words and step of a corpus passage and of an item's, so that any such run lies within one of
+#: each; words, step and bounded number of documents for the fit of the space.
+RUN, WINDOW, STEP, ITEM_WINDOW, ITEM_STEP = 10, 16, 7, 12, 3
+FIT_WINDOW, FIT_STEP, FIT_DOCS = 20, 10, 10_000
+#: Features, rank, further columns and passes of the latent space.
+FEATURES, RANK, OVER, PASSES = 1 << 14, 128, 16, 2
 #: Least latent cosine of a candidate; least share of a paraphrase's words in order.
 COSINE, IN_ORDER = 0.5, 0.6
-#: Most bytes of the items that may travel to the tasks; larger sets are searched in several rounds.
-ITEM_BYTES = 64 << 20
+#: Words of items that travel to the tasks at a time, and at all: their number is stated, larger sets are to be asked in batches.
+ROUND, MOST = 100_000, 4_000_000
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -65,6 +66,28 @@ class _Space:
         return starts, v / n
 
 
+    def passages_of(self, hs: list[np.ndarray], width: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """Normed passages of several texts, and the text of each."""
+        start, of, end, at = [], [], [], 0
+        for n, h in enumerate(hs):
+            w = _windows(len(h), width, step)
+            start.append(at + w)
+            end.append(at + np.minimum(w + width, len(h)))
+            of.append(np.full(len(w), n))
+            at += len(h)
+        start, end = np.concatenate(start), np.concatenate(end)
+        x = self.weighed[_slots(np.concatenate(hs))]
+        # sums of words go block by block, so that their differences stay exact enough in single precision
+        v = np.empty((len(start), x.shape[1]), np.float32)
+        for s in range(0, len(start), 4096):
+            lo, hi = start[s], end[s : s + 4096].max()
+            c = np.concatenate([np.zeros((1, x.shape[1]), np.float64), np.cumsum(x[lo:hi], axis=0, dtype=np.float64)])
+            v[s : s + 4096] = c[end[s : s + 4096] - lo] - c[start[s : s + 4096] - lo]
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        n[n == 0] = 1
+        return v / n, np.concatenate(of)
+
+
 def _gram(h: np.ndarray, idf: np.ndarray, omega: np.ndarray, width: int, step: int, out: np.ndarray) -> int:
     """Add ``sum a (a . omega)`` over the normed TF-IDF passages of one text to ``out``."""
     f = _slots(h)
@@ -130,24 +153,28 @@ def _corpus_gram(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndar
 
 
 def latent_space(docs: DataFrame, items: list[np.ndarray], seed: int = 5) -> _Space:
-    """Basis from the passages of the corpus and, with equal total weight, those of the items."""
+    """Weights from all documents; basis by a randomised SVD of the passages of ``FIT_DOCS`` documents, chosen by their
+    hash, and, with equal total weight, those of the items."""
     hasher = Hasher()
 
     def seen(b: pa.RecordBatch) -> np.ndarray:
-        got = [np.unique(_slots(hasher(words(t)))) for t in b.column(0).to_pylist()]
-        return np.concatenate([np.full(1, FEATURES), *[np.append(g, FEATURES) for g in got]])
+        got = [_slots(hasher(words(t))) for t in b.column(0).to_pylist()]
+        pair = np.unique(np.concatenate([np.repeat(np.arange(len(got)), [len(g) for g in got]) * FEATURES + np.concatenate(got)])) if got else np.zeros(0, np.int64)
+        return np.concatenate([pair % FEATURES, np.full(len(got), FEATURES)]).astype(np.int64)
 
     df = blocks.counts(docs.select("text"), seen, 2 * FEATURES)
     idf = np.log((1 + df[FEATURES]) / (1.0 + df[:FEATURES])) + 0.05
-    omega = np.random.default_rng(seed).standard_normal((FEATURES, RANK))
+    rate = min(1.0, FIT_DOCS / max(1, df[FEATURES]))
+    some = docs.filter(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) < int(rate * (1 << 30)))
+    omega = np.random.default_rng(seed).standard_normal((FEATURES, RANK + OVER))
     for _ in range(PASSES):
-        z = _corpus_gram(docs, idf, omega)
+        z = _corpus_gram(some, idf, omega)
         own = np.zeros_like(z)
         for h in items:
             _gram(h, idf, omega, RUN, 1, own)
         z = z / max(1e-12, np.linalg.norm(z)) + own / max(1e-12, np.linalg.norm(own))
-        omega, _ = np.linalg.qr(z)
-    return _Space(idf, omega)
+        omega, _, _ = np.linalg.svd(z, full_matrices=False)  # in the order of their weight
+    return _Space(idf, omega[:, :RANK])
 
 
 def longest_run(a: np.ndarray, b: np.ndarray) -> int:
@@ -188,25 +215,30 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``paraphrase`` where most words come in order and all facts of the item are there. Null, empty and short texts have no
     leaks; repeated documents are treated each for itself; no items give no rows.
     """
+    hasher, rows, total = Hasher(), [], 0
+    for r in items.filter("text is not null").select("item_id", "text").toLocalIterator():
+        w = words(r[1])
+        total += len(w)
+        if total > MOST:
+            raise ValueError(f"the items have more than {MOST} words; ask for them in batches")
+        if w:
+            rows.append((r[0], w, hasher(w)))
     schema = "doc_id BIGINT, item_id BIGINT, run INT, in_order DOUBLE, facts DOUBLE, kind STRING"
-    hasher = Hasher()
-    rows = [(r[0], words(r[1])) for r in items.select("item_id", "text").toLocalIterator() if r[1]]
-    rows = [(i, w, hasher(w)) for i, w in rows if w]
-    if sum(len(h) for _, _, h in rows) * (8 + 4 * RANK) > ITEM_BYTES:
-        half = len(rows) // 2
-        left = items.join(items.sparkSession.createDataFrame([(r[0],) for r in rows[:half]], "item_id BIGINT"), "item_id", "left_semi")
-        return leaks(docs, left).unionByName(leaks(docs, items.join(left.select("item_id"), "item_id", "left_anti")))
     if not rows:
         return docs.sparkSession.createDataFrame([], schema)
     space = latent_space(docs, [h for _, _, h in rows])
-    vectors, owner = [], []
-    for n, (_, _, h) in enumerate(rows):
-        _, v = space.passages(h, RUN, 1)
-        vectors.append(v)
-        owner.append(np.full(len(v), n))
-    wanted, owner = np.concatenate(vectors), np.concatenate(owner)
-    ids = [r[0] for r in rows]
-    texts = [r[2] for r in rows]
+    ends = np.cumsum([len(h) for _, _, h in rows]) // ROUND
+    found = None
+    for n in np.unique(ends):  # the space is the same in all rounds
+        some = docs.select("doc_id", "text").mapInArrow(_search(space, [r for r, e in zip(rows, ends, strict=True) if e == n]), schema)
+        found = some if found is None else found.unionByName(some)
+    return found
+
+
+def _search(space: _Space, rows: list[tuple[int, list[str], np.ndarray]]):
+    vectors = [space.passages(h, ITEM_WINDOW, ITEM_STEP)[1] for _, _, h in rows]
+    wanted, owner = np.ascontiguousarray(np.concatenate(vectors).T), np.repeat(np.arange(len(rows)), [len(v) for v in vectors])
+    ids, texts = [r[0] for r in rows], [r[2] for r in rows]
     tens = [runs(h, RUN).tolist() for h in texts]
     facts = [_facts(w, h, space).tolist() for _, w, h in rows]
     weighed, idf = space.weighed, space.idf
@@ -214,40 +246,36 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, s = Hasher(), _Space.__new__(_Space)
         s.weighed, s.idf = weighed, idf
-        edge = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
         for b in batches:
             docs_ids = b.column(0).to_pylist()
-            hs = [hasher(words(t)) for t in b.column(1).to_pylist()]
-            found = []
-            for at in range(0, len(hs), 128):
-                part = [(d, h) for d, h in zip(docs_ids[at : at + 128], hs[at : at + 128], strict=True) if len(h)]
+            out = []
+            for at in range(0, b.num_rows, 256):
+                part = [(d, h) for d, t in zip(docs_ids[at : at + 256], b.column(1)[at : at + 256].to_pylist(), strict=True) if len(h := hasher(words(t)))]
                 if not part:
                     continue
-                got = [s.passages(h, WINDOW, STEP)[1] for _, h in part]
-                of = np.repeat(np.arange(len(part)), [len(g) for g in got])
-                v = np.concatenate(got)
+                v, of = s.passages_of([h for _, h in part], WINDOW, STEP)
                 hits = []
                 for k in range(0, len(v), 512):
-                    c = np.maximum.reduceat(v[k : k + 512] @ wanted.T, edge, axis=1)
-                    p, n = np.nonzero(c >= COSINE)
-                    hits.append(np.stack([of[k + p], n], axis=1))
-                found.extend((*part[d], i) for d, i in np.unique(np.concatenate(hits), axis=0).tolist())
-            out, now, run_set, word_set = [], None, set(), set()
-            for d, h, i in found:
-                if h is not now:
-                    now, run_set, word_set = h, set(runs(h, RUN).tolist()), set(h.tolist())
-                exact = any(x in run_set for x in tens[i])
-                have = sum(x in word_set for x in facts[i]) / max(1, len(facts[i]))
-                if not exact and have < 1.0:
-                    continue
-                share = longest_subsequence(texts[i], h) / len(texts[i])
-                if exact or share >= IN_ORDER:
-                    out.append((d, ids[i], longest_run(texts[i], h), share, have, "exact" if exact else "paraphrase"))
+                    p, n = np.divmod(np.flatnonzero((v[k : k + 512] @ wanted).ravel() >= COSINE), wanted.shape[1])
+                    hits.append(np.unique(of[k + p] * len(ids) + owner[n]))
+                now, run_set, word_set = -1, set(), set()
+                for x in np.unique(np.concatenate(hits)).tolist():
+                    d, i = divmod(x, len(ids))
+                    h = part[d][1]
+                    if d != now:
+                        now, run_set, word_set = d, set(runs(h, RUN).tolist()), set(h.tolist())
+                    exact = any(x in run_set for x in tens[i])
+                    have = sum(x in word_set for x in facts[i]) / max(1, len(facts[i]))
+                    if not exact and have < 1.0:
+                        continue
+                    share = longest_subsequence(texts[i], h) / len(texts[i])
+                    if exact or share >= IN_ORDER:
+                        out.append((part[d][0], ids[i], longest_run(texts[i], h), share, have, "exact" if exact else "paraphrase"))
             if out:
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int32()), pa.array(c[3]), pa.array(c[4]), pa.array(c[5])], names=["doc_id", "item_id", "run", "in_order", "facts", "kind"])
 
-    return docs.select("doc_id", "text").mapInArrow(search, schema)
+    return search
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

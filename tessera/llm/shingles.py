@@ -9,16 +9,21 @@ import numpy as np
 import xxhash
 
 _WORD = re.compile("[0-9a-z]+")
-_MARKS = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x20000)) if unicodedata.combining(c)) + "]+")
+_OTHER = re.compile("[^\x00-\x7f]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _parted(m: re.Match) -> str:
+    """Of signs beyond ASCII the marks go, all others part words."""
+    return "".join("" if unicodedata.combining(c) else " " for c in m[0])
+
+
 def words(text: str | None) -> list[str]:
     """Accents removed (canonical decomposition, combining marks dropped), lower case, maximal runs of ``[0-9a-z]``."""
     if not text:
         return []
     if not text.isascii():
-        text = _MARKS.sub("", unicodedata.normalize("NFD", text))
+        text = _OTHER.sub(_parted, unicodedata.normalize("NFD", text))
     return _WORD.findall(text.lower())
 
 
