@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,36 @@ def test_failure_before_the_state_is_repeated(spark, tmp_path):
     assert t.read().collect()[0]["v"] == 1
 
 
+def test_failure_inside_the_overwrite(spark, tmp_path, monkeypatch):
+    t = I.ChangedPartitions(spark, str(tmp_path / "o"), ["g"])
+    add = lambda x: x.groupBy("g").agg(F.sum("v").alias("v"))
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "g STRING, v BIGINT")
+    t.refresh(old, ["v"], add)
+    replace = t.files.replace
+
+    def lost(path, text):
+        if path.endswith("state.json"):
+            raise OSError("lost")
+        replace(path, text)
+
+    monkeypatch.setattr(t.files, "replace", lost)
+    with pytest.raises(OSError):
+        t.refresh(spark.createDataFrame([("a", 7), ("b", 2)], "g STRING, v BIGINT"), ["v"], add)
+    monkeypatch.setattr(t.files, "replace", replace)
+    shutil.rmtree(tmp_path / "o" / "rows" / "g=a")  # the old partition is gone, the new one has not come
+    with pytest.raises(RuntimeError):
+        t.read()
+    assert [r["g"] for r in t.refresh(old, ["v"], add).collect()] == ["a"]  # though its fingerprint is the old one
+    assert {r["g"]: r["v"] for r in t.read().collect()} == {"a": 1, "b": 2}
+
+
+def test_buckets_grow_with_a_source(spark):
+    rows = spark.createDataFrame([(i, "big" if i % 10 else "small", None, T, None) for i in range(100)], R)
+    d = I.deliveries(rows, I.last_runs(spark.createDataFrame([], C)), 10)
+    n = {r["source_key"]: r["n"] for r in d.groupBy("source_key").agg(F.count_distinct("bucket").alias("n")).collect()}
+    assert 10 <= n["big"] <= 16 and n["small"] == 1 and d.count() == 100
+
+
 def test_additive_hash_ignores_order_and_counts_copies(spark):
     a = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2)], "g STRING, v BIGINT")
     f = [I.fingerprints(x, ["g"], ["v"]).first() for x in (a, a.orderBy(F.desc("v")), a.distinct())]
