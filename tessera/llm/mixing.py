@@ -132,24 +132,54 @@ def _plan(targets: DataFrame, sizes: DataFrame, total: int | None) -> tuple[list
     return names, np.array([q[s] for s in names], np.int64), np.array([there.get(s, 0) for s in names], np.int64), goal
 
 
-def shard_counts(quota: np.ndarray, shard: int = SHARD, seed: int = SEED) -> np.ndarray:
-    """Slots of each source in each shard: multinomial draws without replacement, so that all shards together meet the quotas."""
-    rng, left, out = np.random.default_rng(seed), quota.copy(), []
-    while left.sum() > 0:
-        m = int(min(shard, left.sum()))
+class ShardDraws:
+    """How many slots of each source every shard has, found from the shard's number alone.
+
+    Draws are made down a binary tree of shards: a node's slots fall to its two halves by a draw without replacement whose
+    seed is the node, so that all shards together meet the quotas and a task needs the nodes above its shards only.
+    """
+
+    def __init__(self, quota: np.ndarray, shard: int = SHARD, seed: int = SEED) -> None:
+        self.quota, self.shard, self.seed = quota.astype(np.int64), shard, seed
+        self.shards = int(-(-int(quota.sum()) // shard))
+        self._kept: dict[tuple[int, int], np.ndarray] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_kept": {}}
+
+    def _drawn(self, left: np.ndarray, need: int, node: tuple[int, int]) -> np.ndarray:
+        rng, draw, rest = np.random.default_rng((self.seed, *node)), np.zeros_like(left), int(left.sum())
         # one draw per source given the rest, which is exact at any size
-        draw, need, rest = np.zeros_like(left), m, int(left.sum())
         for i, k in enumerate(left.tolist()):
             rest -= k
             if rest + k >= 1_000_000_000:  # the generator's bound; there the two distributions do not differ measurably
-                d = min(k, int(rng.binomial(need, k / (rest + k))))
-                d = max(d, need - rest)
+                d = max(min(k, int(rng.binomial(need, k / (rest + k)))), need - rest)
             else:
                 d = int(rng.hypergeometric(k, rest, need)) if need and k else 0
             draw[i], need = d, need - d
-        out.append(draw)
-        left = left - draw
-    return np.array(out, np.int64).reshape(len(out), len(quota))
+        return draw
+
+    def __call__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of each source in shard k, and in all shards before it."""
+        lo, hi, here, before = 0, self.shards, self.quota, np.zeros_like(self.quota)
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            left = self._kept.get((lo, hi))
+            if left is None:
+                if len(self._kept) > 4096:
+                    self._kept.clear()
+                left = self._kept[lo, hi] = self._drawn(here, (mid - lo) * self.shard, (lo, hi))
+            if k < mid:
+                hi, here = mid, left
+            else:
+                lo, here, before = mid, here - left, before + left
+        return here, before
+
+
+def shard_counts(quota: np.ndarray, shard: int = SHARD, seed: int = SEED) -> np.ndarray:
+    """The draws of all shards, for looking at them."""
+    d = ShardDraws(quota, shard, seed)
+    return np.array([d(k)[0] for k in range(d.shards)], np.int64).reshape(d.shards, len(quota))
 
 
 def mixture(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, total: int | None = None, length: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
@@ -161,15 +191,15 @@ def mixture(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, t
     """
     b = cut(source_blocks(docs, vocabulary, length))
     names, quota, size, _ = _plan(targets, b.groupBy("source").agg(F.count("*").alias("n")), total)
-    counts = shard_counts(quota, shard, seed)
-    first = np.cumsum(counts, axis=0) - counts
+    draws = ShardDraws(quota, shard, seed)
     spark = docs.sparkSession
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in batch.column(0).to_pylist():
-                src = np.repeat(np.arange(len(names)), counts[k])
-                g = first[k][src] + np.arange(len(src)) - np.repeat(np.cumsum(counts[k]) - counts[k], counts[k])
+                n, before = draws(k)
+                src = np.repeat(np.arange(len(names)), n)
+                g = before[src] + np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n)
                 rep = g // np.maximum(size[src], 1)
                 block = np.empty(len(src), np.int64)
                 for s, r in {*zip(src.tolist(), rep.tolist(), strict=True)}:
@@ -181,7 +211,7 @@ def mixture(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, t
                     names=["shard", "slot", "source", "block", "repeat"],
                 )
 
-    s = spark.range(len(counts)).mapInArrow(slots, "shard BIGINT, slot BIGINT, source STRING, block BIGINT, repeat INT")
+    s = spark.range(draws.shards).mapInArrow(slots, "shard BIGINT, slot BIGINT, source STRING, block BIGINT, repeat INT")
     return s.join(b, ["source", "block"]).select("shard", "slot", "source", "block", "repeat", F.size("tokens").alias("n_tokens"), "tokens", "documents")
 
 

@@ -49,6 +49,9 @@ def test_permutation_and_quotas():
     q = mixing.quotas({"a": 1000, "b": 10, "c": 100}, {"a": (0.5, 1), "b": (0.3, 2), "c": (0.2, 1), "none": (0.1, 3)}, 200)
     assert q["b"] == 20 and q["none"] == 0 and sum(q.values()) == 200 and abs(q["a"] / q["c"] - 2.5) < 0.1
     assert mixing.quotas({}, {"a": (1.0, 1)}, 10) == {"a": 0}
+    d = mixing.ShardDraws(np.array([5 * 10**12, 3 * 10**10, 7]), 2048)
+    (a, x), (b, y) = d(10**9), d(10**9 + 1)
+    assert a.sum() == b.sum() == 2048 and (x + a == y).all() and x.sum() == 2048 * 10**9 and len(d._kept) < 100
     c = mixing.shard_counts(np.array([500, 30, 0, 70]), 100)
     assert c.sum(0).tolist() == [500, 30, 0, 70] and (c.sum(1) == 100).all()
 
