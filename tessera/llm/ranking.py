@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut, table
+from tessera.session import stored, table
 
 #: Coefficients of a rational approximation of the inverse normal distribution (relative error under 1.2e-9).
 _A = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
@@ -50,44 +50,46 @@ def percentiles(best: DataFrame) -> DataFrame:
     """``query_id, lane, id, better, equal, n, p``: how many of the lane are better, how many equal (itself included), and the percentile."""
     g = ["query_id", "lane"]
     counted = best.groupBy(*g, "s").agg(F.count("*").alias("equal"))
-    placed = cut(counted.repartitionByRange(*g, "s").withColumn("part", F.spark_partition_id()))
+    placed = stored(counted.repartitionByRange(*g, "s").withColumn("part", F.spark_partition_id()))
     totals = placed.groupBy(*g, "part").agg(F.sum("equal").alias("m"))
     w = Window.partitionBy(*g).orderBy("part")  # at most one row per partition
-    before = totals.select(*g, "part", F.sum("m").over(w).alias("upto"), F.sum("m").over(Window.partitionBy(*g)).alias("n"))
+    before = totals.select(*g, "part", (F.sum("m").over(w) - F.col("m")).alias("before"), F.sum("m").over(Window.partitionBy(*g)).alias("n"))
     inside = placed.withColumn("run", F.sum("equal").over(Window.partitionBy("part", *g).orderBy("s")))
-    j = inside.join(before, [*g, "part"]).join(totals.withColumnRenamed("m", "own"), [*g, "part"])
-    below = F.col("upto") - F.col("own") + F.col("run") - F.col("equal")
+    j = inside.join(before, [*g, "part"])
+    below = F.col("before") + F.col("run") - F.col("equal")
     r = j.select(*g, "s", "equal", "n", (F.col("n") - below - F.col("equal")).alias("better"), ((below + F.col("equal") / 2) / F.col("n")).alias("p"))
     return best.join(r, [*g, "s"]).select(*g, "id", "better", "equal", "n", "p")
 
 
 def combined_ranking(hits: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """``query_id, rank, id, score, lanes, query_lanes, wins``.
+    """``query_id, rank, id, score, lanes, query_lanes, wins, ceiling``.
 
     score: weighted mean of the normal scores over the lanes of the query; in a lane without the item it counts with the
-    lane's least normal score. wins: lanes in which the item is strictly the best. Ties of the score go by smaller id. A
+    lane's least normal score. wins: lanes in which the item is strictly the best. ceiling: the score of an item that is
+    among the best in every lane. Ties of the score go by smaller id. A
     lane without usable scores does not exist; a query without one gives no row. Extra columns are ignored.
     """
     p = percentiles(best_hits(hits)).withColumn("z", inverse_normal(F.col("p")))
     weight = F.lit(1.0)
     for lane, x in (weights or {}).items():
         weight = F.when(F.col("lane") == lane, F.lit(float(x))).otherwise(weight)
-    lanes = p.groupBy("query_id", "lane").agg(F.min("z").alias("least")).withColumn("w", weight)
-    per = lanes.groupBy("query_id").agg(F.count("*").alias("query_lanes"), F.sum("w").alias("all"), F.sum(F.col("w") * F.col("least")).alias("floor"))
+    p = stored(p)
+    lanes = p.groupBy("query_id", "lane").agg(F.min("z").alias("least"), F.max("z").alias("most")).withColumn("w", weight)
+    per = lanes.groupBy("query_id").agg(F.count("*").alias("query_lanes"), F.sum("w").alias("all"), F.sum(F.col("w") * F.col("least")).alias("floor"), F.sum(F.col("w") * F.col("most")).alias("top"))
     j = p.join(lanes, ["query_id", "lane"])
     i = j.groupBy("query_id", "id").agg(F.count("*").alias("lanes"), F.sum(F.col("w") * (F.col("z") - F.col("least"))).alias("above"), F.sum(((F.col("better") == 0) & (F.col("equal") == 1)).cast("int")).alias("wins"))
-    s = i.join(per, "query_id").select("query_id", "id", F.round((F.col("floor") + F.col("above")) / F.col("all"), 9).alias("score"), "lanes", "query_lanes", "wins")
+    s = i.join(per, "query_id").select("query_id", "id", F.round((F.col("floor") + F.col("above")) / F.col("all"), 9).alias("score"), "lanes", "query_lanes", "wins", (F.col("top") / F.col("all")).alias("ceiling"))
     return _ranked(s)
 
 
 def _ranked(s: DataFrame) -> DataFrame:
     """``rank`` within the query by score, then id, counted over range partitions."""
-    placed = cut(s.withColumn("down", -F.col("score")).repartitionByRange("query_id", "down", "id").withColumn("part", F.spark_partition_id()))
+    placed = stored(s.withColumn("down", -F.col("score")).repartitionByRange("query_id", "down", "id").withColumn("part", F.spark_partition_id()))
     totals = placed.groupBy("query_id", "part").agg(F.count("*").alias("own"))
     before = totals.select("query_id", "part", (F.sum("own").over(Window.partitionBy("query_id").orderBy("part")) - F.col("own")).alias("before"))
     inside = placed.withColumn("r", F.row_number().over(Window.partitionBy("part", "query_id").orderBy("down", "id")))
     j = inside.join(before, ["query_id", "part"])
-    return j.select("query_id", (F.col("before") + F.col("r")).cast("bigint").alias("rank"), "id", "score", "lanes", "query_lanes", "wins")
+    return j.select("query_id", (F.col("before") + F.col("r")).cast("bigint").alias("rank"), "id", "score", "lanes", "query_lanes", "wins", "ceiling")
 
 
 def all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +99,9 @@ def all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combined_ranking(all_hits(spark, sf_dir)).filter("wins = query_lanes").select("query_id", "id")
+    """First of the ranking with the greatest score that its query allows, and shared with nobody in any lane."""
+    r = combined_ranking(all_hits(spark, sf_dir))
+    return r.filter("rank = 1 and abs(score - ceiling) < 1e-8 and wins = query_lanes").select("query_id", "id")
 
 
 def p5_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
