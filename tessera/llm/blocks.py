@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Postings of one key in one block; parts per shuffle partition.
-HOT, PARTS = 8192, 4
-#: Counters of a sketch; they travel in this many slices.
-SKETCH, SLICES = 1 << 18, 16
+#: Postings of one key in one block; parts per shuffle partition at least, and bytes of a part as planned.
+HOT, PARTS, PART_BYTES = 8192, 4, 32 << 20
+#: Fewest and most counters of a sketch, and postings for each as planned; they travel in this many slices.
+SKETCH, MOST_SKETCH, LOAD, SLICES = 1 << 18, 1 << 24, 256, 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -33,8 +33,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def parts_of(df: DataFrame) -> int:
-    return PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def parts_of(df: DataFrame, size: int = 0) -> int:
+    """Parts for so many bytes of postings: a task holds one at a time."""
+    return max(PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def sketch_of(postings: int) -> int:
+    """Counters for so many postings, a power of two: few enough fall on one counter to tell rare keys from frequent ones."""
+    return min(MOST_SKETCH, max(SKETCH, 1 << max(0, int(postings) // LOAD).bit_length()))
+
+
+def hot_over(counted: np.ndarray, hot: int) -> tuple[int, int]:
+    """What a counter holds by chance, and from which count on its keys count as hot: never the mean of all keys."""
+    mean = int(counted.sum() // max(1, len(counted)))
+    return mean, max(hot, 4 * mean)
 
 
 def sliced(c: np.ndarray) -> tuple[list[int], list[bytes]]:
@@ -71,12 +83,13 @@ def counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], size: i
     return added(df.mapInArrow(run, "i INT, c BINARY"), size)
 
 
-def spread(key: np.ndarray, row: np.ndarray, n: np.ndarray, hot: int = HOT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spread(key: np.ndarray, row: np.ndarray, n: np.ndarray, hot: int = HOT, mean: int = 0, over: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cells of postings: index of the posting, cell, and side (0: the lower block of the pair, 1: the higher).
 
-    n: estimated count of each posting's key, equal for equal keys. Up to ``hot`` the cell is the key and the side 0.
+    n: estimated count of each posting's key, equal for equal keys. Up to ``hot`` (or to ``over``, if that is more) the cell is
+    the key and the side 0; beyond, blocks are counted without ``mean``, the postings of other keys on the same counter.
     """
-    s = np.maximum(1, -(-n // hot)).astype(np.int64)
+    s = np.where(n > max(hot, over), np.maximum(1, -(-(n - mean) // hot)), 1).astype(np.int64)
     own = (mix(row) % s.astype(np.uint64)).astype(np.int64)
     at = np.repeat(np.arange(len(key)), s)
     other = np.arange(len(at)) - np.repeat(np.cumsum(s) - s, s)

@@ -47,24 +47,28 @@ class Measure:
 DEFAULT, FOUND = Measure(5, 4, 5, 5), Measure()
 
 
-def _slot(x: np.ndarray) -> np.ndarray:
-    return (blocks.mix(x) % np.uint64(blocks.SKETCH)).astype(np.int64)
+#: Members of a set as planned for, and bytes that a record's postings take.
+_MEMBERS, _BYTES = 64, 1024
+
+
+def _slot(x: np.ndarray, sketch: int) -> np.ndarray:
+    return (blocks.mix(x) % np.uint64(sketch)).astype(np.int64)
 
 
 def _starts(rec: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(rec, np.arange(n))
 
 
-def _read(texts: DataFrame, m: Measure) -> DataFrame:
+def _read(texts: DataFrame, m: Measure, sketch: int) -> DataFrame:
     """One pass over all versions as they lie: ``key, id, src, u, digest`` of each with enough words, the digest standing
     for its set; and, in rows with ``slice``, counters of the members of all sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, c, kind = Hasher(), np.zeros(blocks.SKETCH, np.int64), None
+        hasher, c, kind = Hasher(), np.zeros(sketch, np.int64), None
         for b in batches:
             kind = b.schema.field(0).type
             at, rec, r = batch_sets(b.column(1).to_pylist(), m.run, m.least_words, hasher)
-            c += np.bincount(_slot(r), minlength=blocks.SKETCH)
+            np.add.at(c, _slot(r, sketch), 1)
             d, ok = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, bool)
             if len(at):
                 start = _starts(rec, len(at))
@@ -81,8 +85,9 @@ def _read(texts: DataFrame, m: Measure) -> DataFrame:
     return texts.select(F.struct("key", "id", "src", "u").alias("n"), "text").mapInArrow(run, out).select("n.*", "digest", "ok", "slice", "c")
 
 
-def _postings(texts: DataFrame, m: Measure, size: np.ndarray) -> DataFrame:
-    parts = blocks.parts_of(texts)
+def _postings(texts: DataFrame, m: Measure, size: np.ndarray, rows: int) -> DataFrame:
+    parts = blocks.parts_of(texts, rows * _BYTES)
+    mean, over = blocks.hot_over(size, blocks.HOT)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -97,12 +102,12 @@ def _postings(texts: DataFrame, m: Measure, size: np.ndarray) -> DataFrame:
             upper = (r & np.uint64(64)) > 0
             zero = np.uint64(0)
             m0, m1 = np.bitwise_or.reduceat(np.where(upper, zero, bit), start), np.bitwise_or.reduceat(np.where(upper, bit, zero), start)
-            n = size[_slot(r)]
+            n = size[_slot(r, len(size))].astype(np.int64)
             o = np.lexsort((r, n, rec))  # rarest first
             place = np.arange(len(r)) - start[rec]  # rec is sorted either way
             pick = place < (card - -(-card * m.num // m.den) + 1)[rec]
             r, n, rec, place = r[o][pick], n[o][pick], rec[pick], place[pick]
-            idx, cell, side = blocks.spread(r, keys[rec], n)
+            idx, cell, side = blocks.spread(r, keys[rec], n, blocks.HOT, mean, over)
             who = rec[idx]
             x = np.empty(len(idx), _POST)
             x["cell"], x["row"], x["m0"], x["m1"], x["side"] = blocks.short(cell), keys[who], m0[who], m1[who], side
@@ -152,8 +157,11 @@ class NearDuplicates:
 
     def __init__(self, versions: DataFrame, m: Measure = DEFAULT) -> None:
         t = versions.filter("id is not null and text is not null").select(blocks.id_hash("id").alias("key"), "id", "src", "u", "text")
-        read = stored(_read(t, m))
-        size = blocks.added(read.filter("slice is not null").select(F.col("slice").alias("i"), "c"), blocks.SKETCH)
+        rows = versions.count()
+        sketch = blocks.sketch_of(rows * _MEMBERS)
+        read = stored(_read(t, m, sketch))
+        size = blocks.added(read.filter("slice is not null").select(F.col("slice").alias("i"), "c"), sketch)
+        size = np.minimum(size, np.iinfo(np.int32).max).astype(np.int32)
         top = read.filter("slice is null").groupBy("key", "id").agg(F.max_by(F.struct("src", "u", "digest", "ok"), F.struct("src", "u", "digest")).alias("r"))
         sig = stored(top.filter("r.ok").select("key", "id", "r.src", "r.u", "r.digest"))
         rep = sig.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("x"), F.count("*").alias("c")).select("digest", F.col("x.key").alias("rep"), F.col("x.id").alias("rep_id"), "c")
@@ -162,7 +170,7 @@ class NearDuplicates:
         # the text of each representative, once, placed by key for both the postings and the verification
         placed = t.select("key", "src", "u", "text").repartition("key")
         self.texts = placed.join(chosen, "key").filter("src = s and u <=> v").groupBy("key").agg(F.max("text").alias("text"))
-        cand = _candidates(_postings(self.texts, m, size), m)
+        cand = _candidates(_postings(self.texts, m, size, rows), m)
         self.pairs = self._verify(cand, m)
 
     def _verify(self, cand: DataFrame, m: Measure) -> DataFrame:

@@ -111,6 +111,21 @@ def test_spread_meets_every_pair_once():
     assert max(end - start) < 120
 
 
+def test_copies_of_a_posting_stay_flat_as_rows_grow():
+    rng = np.random.default_rng(1)
+    copies = []
+    for rows in (10**6, 10**7, 10**8, 10**9, 10**10):
+        postings = 64 * rows
+        sketch = blocks.sketch_of(postings)
+        counted = rng.poisson(postings / sketch, 4096)  # a sample of the counters: keys that are not hot
+        mean, over = blocks.hot_over(counted, blocks.HOT)
+        at, _, side = blocks.spread(np.arange(4096).astype(np.uint64), np.arange(4096), counted, blocks.HOT, mean, over)
+        copies.append(len(at) / 4096)
+        hot = np.full(100, counted.mean() * 4 + 100 * blocks.HOT).astype(np.int64)
+        assert len(blocks.spread(np.full(100, 7, np.uint64), np.arange(100), hot, blocks.HOT, mean, over)[0]) >= 100 * 100
+    assert max(copies) == 1.0
+
+
 def test_counts(spark):
     df = spark.range(1000).repartition(7)
     c = blocks.counts(df, lambda b: np.asarray(b.column(0)) % 10, 32)
