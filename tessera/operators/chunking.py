@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.interfaces import BaseChunker
 from tessera.functions.ids import chunk_id
 
 #: Separators from coarse to fine; the last one means single characters.
@@ -142,3 +143,22 @@ def token_windows(docs: DataFrame, size: int = 200, overlap: int = 20, *, id_col
     d = d.select("doc_id", "w", F.posexplode(F.sequence(F.lit(0), F.greatest(F.size("w") - overlap - 1, F.lit(0)), F.lit(size - overlap))).alias("order", "start"))
     s = F.slice("w", F.col("start") + 1, size)
     return d.select(chunk_id(F.col("doc_id"), F.col("order")).alias("id"), "doc_id", F.col("order").cast("bigint").alias("order"), F.size(s).cast("bigint").alias("tok"), F.array_join(s, " ").alias("text"))
+
+
+class RecursiveChunker(BaseChunker):
+    def __init__(self, size: int = 200, overlap: int = 20, **options) -> None:
+        check_sizes(size, overlap)
+        self.size, self.overlap, self.options = size, overlap, options
+
+    def chunk(self, docs: DataFrame) -> DataFrame:
+        return recursive_chunks(docs, self.size, self.overlap, **self.options)
+
+
+class WindowChunker(BaseChunker):
+    def __init__(self, size: int = 200, overlap: int = 20, **options) -> None:
+        check_sizes(size, overlap)
+        self.size, self.overlap, self.options = size, overlap, options
+
+    def chunk(self, docs: DataFrame) -> DataFrame:
+        w = token_windows(docs, self.size, self.overlap, **self.options)
+        return w.select("id", "text", chunk_metadata(F.lit(None).cast("map<string,string>"), F.col("doc_id"), F.col("order"), F.col("tok")).alias("metadata"))

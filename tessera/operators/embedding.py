@@ -57,21 +57,32 @@ def resolve_vectors(df: DataFrame, factory: Callable[[], Embed] | None, text_col
 
 
 def hashing_embedder(dim: int = 64) -> Callable[[], Embed]:
-    """Signed hashed words, scaled to length 1; a text without words is the zero vector."""
+    """Signed hashed words, scaled to length 1; a text without words is the zero vector.
+
+    The first eight hex digits of a word's MD5 give its place, an odd ninth digit the sign.
+    """
 
     def factory() -> Embed:
+        import hashlib
         import re
 
-        import xxhash
+        seen: dict[str, tuple[int, float]] = {}
+
+        def at(w: str) -> tuple[int, float]:
+            if w not in seen:
+                if len(seen) > 1 << 18:
+                    seen.clear()
+                h = hashlib.md5(w.encode()).hexdigest()
+                seen[w] = int(h[:8], 16) % dim, 1.0 if int(h[8], 16) % 2 else -1.0
+            return seen[w]
 
         def f(texts: list[str]) -> list[list[float]]:
             out = np.zeros((len(texts), dim))
             for i, t in enumerate(texts):
                 for w in re.findall(r"\w+", t.lower()):
-                    h = xxhash.xxh64_intdigest(w)
-                    out[i, h % dim] += 1.0 if h >> 63 else -1.0
-                n = np.linalg.norm(out[i])
-                out[i] /= n or 1.0
+                    k, sign = at(w)
+                    out[i, k] += sign
+                out[i] /= np.linalg.norm(out[i]) or 1.0
             return out.tolist()
 
         return f
@@ -124,3 +135,43 @@ def model_embedder(model_id: str, device: str | None = None, batch_size: int = L
         return lambda texts: m.encode(texts, batch_size=batch_size, convert_to_numpy=True).tolist()
 
     return factory
+
+
+def local_embedder(path: str, device: str | None = None, batch_size: int = LOCAL_BATCH, longest: int = 512) -> Callable[[], Embed]:
+    """A model in a local directory, loaded once per worker: as saved by sentence-transformers where its files say so, else
+    a raw checkpoint of ``transformers`` with masked mean pooling. A directory that is missing on a worker is an error there.
+    """
+
+    def factory() -> Embed:
+        import os
+
+        if not os.path.exists(path):
+            raise FileNotFoundError(f"no model at {path}")
+        if packaged(path):
+            return model_embedder(path, device, batch_size)()
+        try:
+            import torch
+            from transformers import AutoModel, AutoTokenizer
+        except ImportError as e:
+            raise RuntimeError(f"{path} holds a raw checkpoint, and transformers is not installed on the workers") from e
+        words, model = AutoTokenizer.from_pretrained(path), AutoModel.from_pretrained(path).to(device or "cpu").eval()
+
+        def f(texts: list[str]) -> list[list[float]]:
+            out: list[list[float]] = []
+            for part in batches(texts, batch_size):
+                x = words(part, padding=True, truncation=True, max_length=longest, return_tensors="pt").to(device or "cpu")
+                with torch.no_grad():
+                    hidden = model(**x).last_hidden_state
+                out.extend(mean_pool(hidden.cpu().numpy(), x["attention_mask"].cpu().numpy()).tolist())
+            return out
+
+        return f
+
+    return factory
+
+
+def packaged(path: str) -> bool:
+    """Whether a directory holds a model as sentence-transformers saves it."""
+    import os
+
+    return any(os.path.exists(os.path.join(path, f)) for f in ("modules.json", "config_sentence_transformers.json"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.interfaces import BaseFusor
+
 
 def rrf(lanes: DataFrame, k: int = 60, digits: int | None = None) -> DataFrame:
     """``(query_id, rank, id, score)`` from ``(query_id, lane, rank, id)``: the sum of ``1 / (k + rank)``.
@@ -27,3 +29,11 @@ def as_lanes(*rankings: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+class ReciprocalRankFusor(BaseFusor):
+    def __init__(self, k: int = 60) -> None:
+        self.k = k
+
+    def fuse(self, lanes: DataFrame) -> DataFrame:
+        return rrf(lanes, self.k)

@@ -23,6 +23,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.interfaces import BasePreprocessor
+
 #: The tags, attributes and protocols that survive cleaning.
 TAGS = frozenset("p br strong em b i ul ol li blockquote code pre hr a h1 h2 h3 h4 h5 h6 img figure figcaption".split())
 ATTRIBUTES = {"a": ("href", "title"), "img": ("src", "alt", "title")}
@@ -284,6 +286,16 @@ def image_description(caption: Column, alt: Column, title: Column) -> Column:
     return F.coalesce(F.nullif(caption, e), F.nullif(alt, e), F.nullif(title, e))
 
 
+class HtmlPreprocessor(BasePreprocessor):
+    """``process`` of ``id_col`` and ``html_col`` with the options of ``html_to_result``."""
+
+    def __init__(self, **options) -> None:
+        self.options = options
+
+    def process(self, docs: DataFrame) -> DataFrame:
+        return html_to_result(docs, **self.options)
+
+
 def strip_tags(col: Column | str) -> Column:
     """Text without tags and comments, blanks collapsed: the plain SQL form for simple pages."""
     c = F.col(col) if isinstance(col, str) else col

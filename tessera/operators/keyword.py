@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import VOCAB_SIZE, token_index, tokens
+from tessera.interfaces import BaseKeywordIndex, SupportsKeywordSearch
 from tessera.operators.search import MOST_QUERIES, top_k
 from tessera.session import stored
 
@@ -250,7 +251,7 @@ def sparse_idf(
     return _searched(d.filter("ok"), blocks, entries, k, digits, False, ["ok", "idx", "tf"] if ready else ["ok", "toks"])
 
 
-class KeywordIndex:
+class KeywordIndex(BaseKeywordIndex):
     """An in-memory style index: upsert, delete and search over one DataFrame of ``(id, text)``.
 
     A replaced id keeps its first position, which breaks ties; within a batch positions follow the ids. Batches must not
@@ -284,10 +285,10 @@ class KeywordIndex:
         self._docs, self._batches = None, 0
 
 
-class NativeKeywordIndex:
+class NativeKeywordIndex(BaseKeywordIndex):
     """Search delegated to a collection's own sparse index; mutations are left to the collection."""
 
-    def __init__(self, store, collection: str) -> None:
+    def __init__(self, store: SupportsKeywordSearch, collection: str) -> None:
         self._store, self._collection = store, collection
 
     def search(self, queries: DataFrame, k: int = 50) -> DataFrame:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.interfaces import BaseReranker
+
 
 def cosine_matrix(vectors: np.ndarray) -> np.ndarray:
     """Pairwise cosines, diagonal 1; a zero vector counts as having norm 1."""
@@ -73,6 +75,8 @@ def candidate_text(document: str = "document", metadata: str = "metadata") -> Co
 def pair_rerank(hits: DataFrame, scorer: Callable[[], Callable[[list[str], list[str]], list[float]]], top_n: int | None = None) -> DataFrame:
     """``(query_id, new_rank, old_rank, score)`` by a pair scorer over ``(query_id, rank, query, text)``.
 
+    Without a column ``text`` it is taken from ``document``, else from the metadata.
+
     scorer: a factory, called once per worker, that returns a function of two lists of texts. ``top_n=0`` gives no rows.
     """
 
@@ -82,6 +86,8 @@ def pair_rerank(hits: DataFrame, scorer: Callable[[], Callable[[list[str], list[
         for q, t in parts:
             yield pd.Series(f(q.fillna("").tolist(), t.fillna("").tolist()), dtype="float64")
 
+    if "text" not in hits.columns:
+        hits = hits.withColumn("text", candidate_text())
     s = hits.select("query_id", F.col("rank").alias("old_rank"), score("query", "text").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "old_rank")
     out = s.select("query_id", F.row_number().over(w).cast("bigint").alias("new_rank"), "old_rank", "score")
@@ -99,3 +105,35 @@ def overlap_scorer() -> Callable[[list[str], list[str]], list[float]]:
         return out
 
     return f
+
+
+def model_scorer(model_id: str, device: str | None = None, batch_size: int = 32) -> Callable[[], Callable[[list[str], list[str]], list[float]]]:
+    """A cross-encoder of sentence-transformers, by name or local directory, loaded once per worker. Needs that package there."""
+
+    def factory() -> Callable[[list[str], list[str]], list[float]]:
+        try:
+            from sentence_transformers import CrossEncoder
+        except ImportError as e:
+            raise RuntimeError("sentence-transformers is not installed on the workers") from e
+        m = CrossEncoder(model_id, device=device)
+        return lambda qs, ts: [float(x) for x in m.predict(list(zip(qs, ts, strict=True)), batch_size=batch_size)] if qs else []
+
+    return factory
+
+
+class MmrReranker(BaseReranker):
+    def __init__(self, lambda_mult: float = 0.5, higher_is_better: bool = True) -> None:
+        if not 0 <= lambda_mult <= 1:
+            raise ValueError("lambda_mult must lie in 0..1")
+        self.lambda_mult, self.higher_is_better = lambda_mult, higher_is_better
+
+    def rerank(self, hits: DataFrame, top_n: int | None = None) -> DataFrame:
+        return mmr(hits, 8 if top_n is None else top_n, self.lambda_mult, self.higher_is_better)
+
+
+class PairReranker(BaseReranker):
+    def __init__(self, scorer: Callable[[], Callable[[list[str], list[str]], list[float]]]) -> None:
+        self.scorer = scorer
+
+    def rerank(self, hits: DataFrame, top_n: int | None = None) -> DataFrame:
+        return pair_rerank(hits, self.scorer, top_n)

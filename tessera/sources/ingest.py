@@ -2,58 +2,142 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import contextlib
+import datetime as dt
+import itertools
+import math
+import re
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.interfaces import BaseIngestor
+from tessera.session import stored
 from tessera.sources.retry import retryable
 
 #: Fixed value: rows per fetch of a streamed read.
 FETCH_SIZE = 1000
 
 
-def named_parameters(query: str, params: Mapping[str, Any] | None) -> tuple[str, dict[str, Any]]:
-    """Query and bound values; names use ``:name`` markers and values never become SQL text."""
-    return query, dict(params or {})
+_MARKER = re.compile(r"""'(?:[^']|'')*'|"[^"]*"|(?<![:\w]):([A-Za-z_]\w*)""")
+_READS = re.compile(r"\s*(?:\(|select\b|with\b|values\b|show\b|describe\b)", re.I)
 
 
-class SqlIngestor:
+def with_markers(query: str, params: Mapping[str, Any], put: Callable[[Any], str]) -> str:
+    """The query with ``put(value)`` for each ``:name`` outside quotes. A name without a value is an error."""
+
+    def one(m: re.Match) -> str:
+        if m[1] is None:
+            return m[0]
+        if m[1] not in params:
+            raise ValueError(f"no value for :{m[1]}")
+        return put(params[m[1]])
+
+    return _MARKER.sub(one, query)
+
+
+def literal(value: Any) -> str:
+    """A value as a typed SQL literal. Text with signs that some databases read as escapes is refused, not rewritten."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise ValueError("a bound number must be finite")
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value.strftime('%Y-%m-%d %H:%M:%S.%f')}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value.isoformat()}'}}"
+    if isinstance(value, str):
+        if "\\" in value or any(ord(c) < 32 for c in value):
+            raise ValueError("a bound text must not hold backslashes or control signs; filter on the DataFrame instead")
+        return "'" + value.replace("'", "''") + "'"
+    raise ValueError(f"no literal for {type(value).__name__}")
+
+
+class SqlIngestor(BaseIngestor):
     """Rows of a query as a DataFrame (batch) or an iterator of rows (stream).
 
     Without a ``url`` the query runs on the views and tables of the session; with one it is pushed to that database by
-    JDBC, and a partition column with bounds splits the read.
+    JDBC, and a partition column with bounds splits the read. There statements that return no rows run as well, and give
+    ``{"rowcount": N}``. Values are bound under ``:name``: by the engine itself, or by a prepared statement; only a read by JDBC
+    takes them as typed literals.
     """
 
     def __init__(self, spark: SparkSession, url: str | None = None, stream: bool = False, properties: Mapping[str, str] | None = None) -> None:
         self.spark, self.url, self.stream, self.properties = spark, url, stream, dict(properties or {})
         self._pool: ThreadPoolExecutor | None = None
 
-    def __enter__(self) -> SqlIngestor:
-        return self
-
-    def __exit__(self, *exc) -> None:
-        self.close()
-
-    @retryable
     def frame(self, query: str, params: Mapping[str, Any] | None = None, *, fetch_size: int = FETCH_SIZE, split: tuple[str, int, int, int] | None = None) -> DataFrame:
         """The lazy result. split: column, lower bound, upper bound, number of partitions (JDBC only)."""
         if self.url is None:
             return self.spark.sql(query, args=dict(params or {}))
-        if params:
-            raise ValueError("bound parameters need the session's engine; leave the url out or read the table and filter")
+        query = with_markers(query, params or {}, literal)
         r = self.spark.read.format("jdbc").options(url=self.url, fetchsize=fetch_size, **self.properties)
         if split:
             c, lo, hi, n = split
             return r.options(dbtable=f"({query}) q", partitionColumn=c, lowerBound=lo, upperBound=hi, numPartitions=n).load()
         return r.option("query", query).load()
 
-    def ingest(self, query: str, params: Mapping[str, Any] | None = None, chunk_size: int = FETCH_SIZE) -> DataFrame | Iterator[Row]:
-        df = self.frame(query, params, fetch_size=chunk_size)
-        return df.toLocalIterator() if self.stream else df
+    @retryable
+    def fetched(self, query: str, params: Mapping[str, Any] | None = None, **options: Any) -> DataFrame:
+        """The result read to its end and kept as a table in the shared folder; the read is what is repeated after an error."""
+        return stored(self.frame(query, params, **options))
+
+    @retryable
+    def _opened(self, query: str, params: Mapping[str, Any] | None, chunk_size: int) -> Iterator[Row]:
+        """An iterator whose first row is there: errors before it are repeated, later ones are the caller's."""
+        rows = self.frame(query, params, fetch_size=chunk_size).toLocalIterator()
+        first = list(itertools.islice(rows, 1))
+        return itertools.chain(first, rows)
+
+    @retryable
+    def execute(self, statement: str, params: Mapping[str, Any] | None = None) -> dict[str, int]:
+        """Run a statement that returns no rows, in one transaction, and report ``{"rowcount": N}``."""
+        if self.url is None:
+            raise ValueError("statements that change rows need a url; tables of the engine change by upsert and delete")
+        values: list[Any] = []
+        text = with_markers(statement, params or {}, lambda v: values.append(v) or "?")
+        jvm = self.spark._jvm
+        p = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            p.setProperty(k, str(v))
+        c = jvm.java.sql.DriverManager.getConnection(self.url, p)
+        try:
+            c.setAutoCommit(False)
+            s = c.prepareStatement(text)
+            for i, v in enumerate(values, 1):
+                if isinstance(v, dt.datetime):
+                    v = jvm.java.sql.Timestamp.valueOf(v.strftime("%Y-%m-%d %H:%M:%S.%f"))
+                elif isinstance(v, dt.date):
+                    v = jvm.java.sql.Date.valueOf(v.isoformat())
+                s.setObject(i, v)
+            n = s.executeUpdate()
+            c.commit()
+            return {"rowcount": n}
+        except Exception:
+            with contextlib.suppress(Exception):
+                c.rollback()
+            raise
+        finally:
+            with contextlib.suppress(Exception):
+                c.close()
+
+    def ingest(self, query: str, params: Mapping[str, Any] | None = None, chunk_size: int = FETCH_SIZE) -> DataFrame | Iterator[Row] | dict[str, int]:
+        if self.url is not None and not _READS.match(query):
+            return self.execute(query, params)
+        if self.stream:
+            return self._opened(query, params, chunk_size)
+        return self.frame(query, params) if self.url is None else self.fetched(query, params, fetch_size=chunk_size)
 
     def a_ingest(self, query: str, params: Mapping[str, Any] | None = None, chunk_size: int = FETCH_SIZE) -> Future:
         """The same in a thread of its own."""

@@ -100,6 +100,39 @@ def test_ingest_and_sinks(spark, tmp_path):
     assert json.loads((tmp_path / "o.json").read_text()) == {"a": "2024-01-02"}
 
 
+def test_jdbc(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    with ingest.SqlIngestor(spark, url) as i:
+        assert i.ingest("CREATE TABLE people (id INT, name VARCHAR(40), born DATE, seen TIMESTAMP)") == {"rowcount": 0}
+        for n, name in enumerate(["ann", "o'hara", ":ann", None]):
+            p = {"i": n, "n": name, "b": dt.date(2000, 1, n + 1), "s": dt.datetime(2024, 1, 1, 12, n)}
+            assert i.ingest("INSERT INTO people VALUES (:i, :n, :b, :s)" if name else "INSERT INTO people VALUES (:i, NULL, :b, :s)", p) == {"rowcount": 1}
+        assert i.ingest("UPDATE people SET name = :n WHERE id >= :i", {"n": "x; DROP TABLE people", "i": 3}) == {"rowcount": 1}
+        got = lambda q, **p: sorted(r[0] for r in i.ingest(q, p).collect())
+        assert got("SELECT id FROM people WHERE name = :n", n="o'hara") == [1] and got("SELECT id FROM people WHERE name = ':ann' AND id > :i", i=1) == [2]
+        assert got("SELECT id FROM people WHERE born >= :b", b=dt.date(2000, 1, 3)) == [2, 3] and got("SELECT id FROM people WHERE seen < :s", s=dt.datetime(2024, 1, 1, 12, 2)) == [0, 1]
+        with pytest.raises(ValueError, match="no value"):
+            i.ingest("SELECT id FROM people WHERE id = :nope", {})
+        with pytest.raises(ValueError, match="backslashes"):
+            i.ingest("SELECT id FROM people WHERE name = :n", {"n": "\\"})
+        assert i.frame("SELECT id FROM people", split=("ID", 0, 4, 2)).rdd.getNumPartitions() == 2
+        assert len(list(ingest.SqlIngestor(spark, url, stream=True).ingest("SELECT id FROM people"))) == 4
+        assert i.a_ingest("SELECT id FROM people").result().count() == 4
+
+
+def test_reading_is_repeated(spark, monkeypatch):
+    calls = []
+
+    def lost(df):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("lost")
+        return df
+
+    monkeypatch.setattr(ingest, "stored", lost)
+    assert ingest.SqlIngestor(spark).fetched("select 1 as x").count() == 1 and len(calls) == 3
+
+
 def test_retry():
     naps, calls = [], []
 
