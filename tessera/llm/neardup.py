@@ -68,7 +68,10 @@ def _read(texts: DataFrame, m: Measure, sketch: int) -> DataFrame:
         for b in batches:
             kind = b.schema.field(0).type
             at, rec, r = batch_sets(b.column(1).to_pylist(), m.run, m.least_words, hasher)
-            np.add.at(c, _slot(r, sketch), 1)
+            if sketch <= 8 * len(r):
+                c += np.bincount(_slot(r, sketch), minlength=sketch)
+            else:
+                np.add.at(c, _slot(r, sketch), 1)
             d, ok = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, bool)
             if len(at):
                 start = _starts(rec, len(at))
