@@ -17,11 +17,18 @@ from tessera.functions.ids import point_uuid
 from tessera.functions.vectors import HIGHER_IS_BETTER
 from tessera.operators.embedding import resolve_vectors
 from tessera.operators.filters import document_filter, operator_filter, plain_filter
-from tessera.operators.keyword import sparse_idf
+from tessera.operators.keyword import sparse_idf, with_sparse
 from tessera.operators.search import knn
+from tessera.session import stored
 from tessera.sources.files import Files
 
 SCHEMA = "id STRING, vector ARRAY<DOUBLE>, document STRING, metadata MAP<STRING,STRING>"
+#: Sparse vectors of the documents, stored beside them where a store is opened for keyword search.
+SPARSE = "idx ARRAY<BIGINT>, tf ARRAY<DOUBLE>"
+#: Records of a bucket as planned; with twice as many the number of buckets doubles.
+BUCKET_ROWS = 250_000
+#: Ids of a list that may be broadcast; a longer one is joined.
+MOST_BROADCAST = 100_000
 #: Rows of a filtered read without a limit, and of a search without a k.
 DEFAULT_LIMIT, DEFAULT_K = 100, 5
 _ENGINES = ("memory", "persistent")
@@ -71,16 +78,21 @@ class CollectionStore:
         if self._manifest(name) is None:
             self._commit(name, {"version": 0, "buckets": self.buckets, "distance": self.distance, "folders": {}})
 
-    def get_collection(self, name: str) -> DataFrame:
-        """All records, with their bucket hidden. An unknown collection is created."""
+    def _read(self, name: str, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], f"{SCHEMA}, {SPARSE}")
+        return self.spark.read.schema(f"{SCHEMA}, {SPARSE}").parquet(*[f"{self.path}/{name}/{f}" for f in folders])
+
+    def _records(self, name: str) -> DataFrame:
         m = self._manifest(name)
         if m is None:
             self.create_collection(name)
             m = self._manifest(name)
-        folders = sorted(set(m["folders"].values()))
-        if not folders:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/{name}/{f}" for f in folders])
+        return self._read(name, sorted(set(m["folders"].values())))
+
+    def get_collection(self, name: str) -> DataFrame:
+        """All records, with their bucket hidden. An unknown collection is created."""
+        return self._records(name).drop("idx", "tf")
 
     def delete_collection(self, name: str) -> None:
         self.files.delete(f"{self.path}/{name}")
@@ -97,15 +109,31 @@ class CollectionStore:
             return
         m = self._manifest(name)
         old = [f for b, f in m["folders"].items() if int(b) in touched]
-        before = self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/{name}/{f}" for f in old]) if old else self.spark.createDataFrame([], SCHEMA)
-        version = m["version"] + 1
-        out = rows(before).select("id", "vector", "document", "metadata").withColumn("b", self._bucket(m["buckets"]))
-        out.repartition(len(touched), "b").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/{name}/v{version}")
+        version = self._write(name, m, rows(self._read(name, old)), len(touched), m["buckets"])
         there = set(self.files.names(f"{self.path}/{name}/v{version}"))
         folders = {b: f for b, f in m["folders"].items() if int(b) not in touched}
         folders |= {str(b): f"v{version}/b={b}" for b in touched if f"b={b}" in there}
         self._commit(name, m | {"version": version, "folders": folders})
 
+    def _write(self, name: str, m: dict, rows: DataFrame, tasks: int, buckets: int) -> int:
+        version = m["version"] + 1
+        out = rows.select("id", "vector", "document", "metadata", "idx", "tf").withColumn("b", self._bucket(buckets))
+        out.repartition(tasks, "b").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/{name}/v{version}")
+        return version
+
+    def _grow(self, name: str, coming: int) -> None:
+        """More buckets before an upsert that would fill them twice over, so that a bucket stays a bounded piece of work."""
+        m = self._manifest(name)
+        need = -(-(coming + (self.count(name) if m["folders"] else 0)) // (2 * BUCKET_ROWS))
+        if need <= m["buckets"]:
+            return
+        n = 1 << (need - 1).bit_length()
+        if not m["folders"]:
+            self._commit(name, m | {"buckets": n})
+            return
+        version = self._write(name, m, self._records(name), n, n)
+        self._commit(name, m | {"version": version, "buckets": n, "folders": {x[2:]: f"v{version}/{x}" for x in self.files.names(f"{self.path}/{name}/v{version}") if x.startswith("b=")}})
+
     def _touched(self, name: str, ids: DataFrame) -> list[int]:
         n = self._manifest(name)["buckets"]
         return sorted(r[0] for r in ids.select(self._bucket(n).alias("b")).distinct().collect())
@@ -122,16 +150,27 @@ class CollectionStore:
             if c not in r.columns:
                 r = r.withColumn(c, F.lit(None).cast(t))
         r = r.select(F.when(F.col("id").isNull(), F.raise_error(F.lit("a record needs an id"))).otherwise(F.col("id").cast("string")).alias("id"), F.col("vector").cast("array<double>").alias("vector"), "document", "metadata")
-        new = latest_per_id(r)
+        # written once: it is counted, tells the buckets, and is what replaces the old rows
+        new = stored(self._sparse(latest_per_id(r)))
+        self._grow(name, new.count())
 
         def rows(old: DataFrame) -> DataFrame:
             if not self.merge:
                 return old.join(new.select("id"), "id", "left_anti").unionByName(new)
-            o = old.select("id", *[F.col(c).alias(f"o_{c}") for c in ("vector", "document", "metadata")])
-            return o.join(new, "id", "full").select("id", *[F.coalesce(c, f"o_{c}").alias(c) for c in ("vector", "document", "metadata")])
+            o = old.select("id", *[F.col(c).alias(f"o_{c}") for c in ("vector", "document", "metadata", "idx", "tf")])
+            j = o.join(new, "id", "full")
+            kept = F.col("document").isNull()  # then the old document stays, and its sparse vector with it
+            return j.select("id", *[F.coalesce(c, f"o_{c}").alias(c) for c in ("vector", "document", "metadata")], *[F.when(kept, F.col(f"o_{c}")).otherwise(F.col(c)).alias(c) for c in ("idx", "tf")])
 
         self._rewrite(name, self._touched(name, new), rows)
 
+    def _sparse(self, df: DataFrame) -> DataFrame:
+        """With the sparse vectors of the documents, or nulls where the store is not for keyword search."""
+        if self.keyword:
+            d = with_sparse(df, "document")
+            return d.withColumns({c: F.when(F.col("document").isNotNull(), F.col(c)) for c in ("idx", "tf")})
+        return df.withColumn("idx", F.lit(None).cast("array<bigint>")).withColumn("tf", F.lit(None).cast("array<double>"))
+
     def _where(self, df: DataFrame, where: Mapping[str, Any] | None, where_document: Mapping[str, Any] | None) -> Column:
         if where_document and self.dialect == "plain":
             raise ValueError("where_document is not supported by this dialect")
@@ -154,7 +193,8 @@ class CollectionStore:
         """Records by ids, or by filter in the order of their point ids up to a limit (100). Scores are null."""
         c = self.get_collection(name)
         if ids is not None:
-            c = c.join(F.broadcast(self.spark.createDataFrame([(i,) for i in ids], "id STRING").distinct()), "id", "left_semi")
+            keys = self.spark.createDataFrame([(i,) for i in ids], "id STRING").distinct()
+            c = c.join(F.broadcast(keys) if len(ids) <= MOST_BROADCAST else keys, "id", "left_semi")
         else:
             c = c.filter(self._where(c, where, None)).orderBy(point_uuid("id")).limit(limit or DEFAULT_LIMIT)
         c = c.withColumn("metadata", F.when(F.size("metadata") > 0, F.col("metadata"))).withColumn("score", F.lit(None).cast("double"))
@@ -175,7 +215,11 @@ class CollectionStore:
     def keyword_search(self, name: str, queries: DataFrame, k: int = 50, where: Mapping[str, Any] | None = None) -> DataFrame:
         if not self.keyword:
             raise ValueError("the store was opened without keyword=True")
-        c = self.get_collection(name)
+        c = self._records(name)
+        # written by a store that was not opened for keyword search
+        late = c.filter("document is not null and idx is null").drop("idx", "tf")
+        if not late.isEmpty():
+            c = c.filter("document is null or idx is not null").unionByName(self._sparse(late))
         return sparse_idf(c, queries, k, text_col="document", where=self._where(c, where, None) if where else None)
 
     def persist(self) -> None:

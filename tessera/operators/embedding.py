@@ -82,7 +82,7 @@ def hashing_embedder(dim: int = 64) -> Callable[[], Embed]:
                 for w in re.findall(r"\w+", t.lower()):
                     k, sign = at(w)
                     out[i, k] += sign
-                out[i] /= np.linalg.norm(out[i]) or 1.0
+                out[i] /= np.sqrt((out[i] ** 2).sum()) or 1.0
             return out.tolist()
 
         return f

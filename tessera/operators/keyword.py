@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.text import VOCAB_SIZE, token_index, tokens
 from tessera.interfaces import BaseKeywordIndex, SupportsKeywordSearch
@@ -189,7 +190,7 @@ def with_sparse(docs: DataFrame, text_col: str, vocab_size: int = VOCAB_SIZE) ->
             cols = [*b.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(idx)), pa.ListArray.from_arrays(ends, pa.array(tf))]
             yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], "idx", "tf"])
 
-    schema = docs.schema.add("idx", "array<bigint>").add("tf", "array<double>")
+    schema = T.StructType([*docs.schema.fields, T.StructField("idx", T.ArrayType(T.LongType())), T.StructField("tf", T.ArrayType(T.DoubleType()))])
     return d.mapInArrow(run, schema)
 
 

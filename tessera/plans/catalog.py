@@ -69,7 +69,7 @@ def normalize_token_accents(spark: SparkSession, d: str) -> DataFrame:
     return _vocabulary(spark, d).select("token", plain_letters("token").alias("plain"))
 
 
-@query()
+@query("SELECT doc_id, strip_accents(text) AS plain FROM documents")
 def normalize_text_accents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", normalize_accents("text").alias("plain"))
 
@@ -230,20 +230,6 @@ def knn_by_expression(spark: SparkSession, d: str) -> DataFrame:
     return search.knn_expression(e, q, TOP, "cosine", digits=6)
 
 
-@query()
-def mmr_rerank(spark: SparkSession, d: str) -> DataFrame:
-    e, q = _vectors(spark, d)
-    hits = search.knn(e, q, 20, "cosine").join(e.select("id", "vector"), "id")
-    return rerank.mmr(hits)
-
-
-@query()
-def pair_rerank(spark: SparkSession, d: str) -> DataFrame:
-    docs, qs = table(spark, d, "documents"), _eval_queries(spark, d)
-    hits = keyword.okapi(docs, qs, TOP, id_col="doc_id").join(docs.select(F.col("doc_id").alias("id"), "text"), "id").join(qs.select("query_id", F.col("text").alias("query")), "query_id")
-    return rerank.pair_rerank(hits, rerank.overlap_scorer, 5)
-
-
 @query("SELECT label, list(v ORDER BY i) AS vector FROM (SELECT label, i, round(sum(x * m) / greatest(sum(m), 1e-9), 6) AS v FROM (SELECT label, CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS m, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL) GROUP BY label")
 def masked_mean_pool(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").withColumn("mask", (F.element_at("embedding", 1) > 0).cast("int"))
@@ -351,17 +337,6 @@ def get_where_limit(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.col("id").cast("bigint").alias("doc_id"), F.col("document").alias("text"))
 
 
-@query("SELECT d.doc_id, d.title FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM review_labels)")
-def get_ids(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "title").join(table(spark, d, "review_labels").select("doc_id"), "doc_id", "left_semi")
-
-
-@query()
-def payload_fields(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "stored_records").select("id", collections.payload(F.col("metadata"), F.col("document"), F.col("id")).alias("p"))
-    return r.select("id", F.array_sort(F.map_entries("p")).alias("payload"), F.array_sort(F.map_entries(collections.record_metadata(F.col("p")))).alias("metadata"))
-
-
 # ---- sources and sinks
 
 def _sql(spark: SparkSession, d: str, text: str, names: str, params: dict) -> DataFrame:
@@ -407,11 +382,6 @@ def checkpoint_incremental(spark: SparkSession, d: str) -> DataFrame:
     return checkpoints.read_after(table(spark, d, "events"), "ts", "event_id", mark).select("event_id", "ts", "event_type")
 
 
-@query()
-def json_sink_lines(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.json_lines(table(spark, d, "orders"))
-
-
 # ---- presentation
 
 
@@ -442,22 +412,11 @@ def resolve_parents(spark: SparkSession, d: str) -> DataFrame:
     return postprocess.resolve_parents(hits, parents).select("chunk", "id", F.md5(F.col("document").cast("binary")).alias("digest"))
 
 
-@query()
-def hash_embed(spark: SparkSession, d: str) -> DataFrame:
-    return embedding.embed_table(embedding.hashing_embedder(), table(spark, d, "documents"), "doc_id", "text")
-
-
-@query()
-def dense_text_search(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and items embedded by the stand-in, then searched by cosine."""
-    docs = embedding.embed_table(embedding.hashing_embedder(), table(spark, d, "documents"), "doc_id", "text")
-    items = embedding.embed_table(embedding.hashing_embedder(), table(spark, d, "eval_items"), "item_id", "text")
-    return search.knn(docs, items.select(F.col("id").alias("query_id"), "vector"), 5, "cosine")
-
-
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return hybrid_grouped(spark, d)
 
 
 
 query(incremental.P4_SQL)(incremental.p4_found)
+
+from tessera.plans import components  # noqa: E402, F401  its queries join those above
