@@ -440,7 +440,7 @@ def residue_kinds(results: DataFrame) -> DataFrame:
 
     Texts without any of the signs that markup is made of never reach Python. Null, empty and blank texts give no row.
     """
-    r = _fields(results).filter(F.col("t").rlike(r"[<>&\\$'\[{}|_#*~`]|---|==="))
+    r = _fields(results).filter(F.col("t").rlike(r"[<>&\\$'\[{}|_#*~`]|---|=="))
     return r.select("doc_key", "field_name", F.explode(_scanned("t", F.col("field_name") == "markdown")).alias("markup"))
 
 

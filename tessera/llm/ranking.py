@@ -105,7 +105,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combined_ranking(all_hits(spark, sf_dir)).select("query_id", "rank", "id", "score")
+    return combined_ranking(all_hits(spark, sf_dir)).select("query_id", "rank", "id", (F.round("score", 6) + 0.0).alias("score"))
 
 
 P5_SQL = """

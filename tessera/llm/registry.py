@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import abuse, leakage, markup, mixing, neardup, ranking, splitting, subset, vectors
+from tessera.llm import abuse, leakage, markup, mixing, neardup, oracles, ranking, splitting, subset, vectors
 
 QUERIES = {
     "p1_found": vectors.p1_found,
@@ -25,4 +25,14 @@ QUERIES = {
     "p10_scores": abuse.p10_scores,
     "p10_rates": abuse.p10_rates,
 }
-SQL = {"p3_found": splitting.P3_SQL, "p5_found": ranking.P5_SQL}
+SQL = {
+    "p1_found": oracles.P1_FOUND,
+    "p1_neighbours": oracles.P1_NEIGHBOURS,
+    "p2_found": oracles.P2_FOUND,
+    "p2_groups": oracles.P2_GROUPS,
+    "p3_found": splitting.P3_SQL,
+    "p5_found": ranking.P5_SQL,
+    "p5_ranking": oracles.P5_RANKING,
+    "p7_found": oracles.P7_FOUND,
+    "p8_found": oracles.P8_FOUND,
+}
