@@ -23,6 +23,10 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 _WORDS = re.compile(r"\w+|[^\w\s]|\s+")
 
 
+#: Fixed value: how the tokenizer of a rank file cuts a text before merging.
+BYTE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class RegexCodec:
     """Words, single signs and runs of blanks as tokens; needs no vocabulary."""
 
@@ -36,7 +40,7 @@ class RegexCodec:
 class RankCodec:
     """A byte-level BPE from a rank file (lines of base64 bytes and rank)."""
 
-    def __init__(self, path: str, pattern: str = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+") -> None:
+    def __init__(self, path: str, pattern: str = BYTE_PATTERN) -> None:
         import tiktoken
 
         with open(path, "rb") as f:

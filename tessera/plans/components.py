@@ -85,6 +85,19 @@ def chunk_recursive_whole(spark: SparkSession, d: str) -> DataFrame:
     return g.select("doc_id", F.array_join(F.transform("x", lambda v: v["text"]), "").alias("text"), (F.col("most") <= 60).alias("fits"), numbered.alias("numbered"))
 
 
+#: Rank file of a public byte-level tokenizer, on every worker.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, text FROM documents WHERE text IS NOT NULL")
+def chunk_recursive_bytes(spark: SparkSession, d: str) -> DataFrame:
+    """The same with lengths in byte-pair tokens, which hold for the sum of the pieces of a chunk."""
+    c = chunking.RecursiveChunker(80, 0, vocabulary=VOCABULARY).chunk(table(spark, d, "documents"))
+    m = c.select(F.col("metadata")["doc_id"].alias("doc_id"), F.col("metadata")["order"].cast("int").alias("o"), "text")
+    g = m.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("o", "text"))).alias("x"))
+    return g.select("doc_id", F.array_join(F.transform("x", lambda v: v["text"]), "").alias("text"))
+
+
 @query("SELECT doc_id::VARCHAR AS doc_id, 'first part of ' || doc_id AS a, 'second one' AS b, lang AS own, doc_id::VARCHAR AS doc FROM documents")
 def chunk_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """The coarsest separator that suffices cuts; the document's own metadata stays, but for the chunker's three fields."""
@@ -293,9 +306,13 @@ def ingest_waiting(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(*) AS inserted, count(*) FILTER (WHERE n_regionkey = 2) AS changed, sum(CASE WHEN n_regionkey = 2 THEN 0 ELSE n_nationkey END)::BIGINT AS total FROM nation")
 def ingest_jdbc(spark: SparkSession, d: str) -> DataFrame:
-    """A database behind JDBC: statements with row counts, then a read with bound values. Its 25 rows are a fixed table."""
+    """A database behind JDBC: statements with row counts, then a read with bound values. Its 25 rows are a fixed table.
+
+    The database is one that runs inside the driver, so this query needs a session on a single machine.
+    """
     from tessera.session import checkpoint_dir
 
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
     path = checkpoint_dir(spark).removeprefix("file:") if checkpoint_dir(spark).startswith("file:") else f"memory:{uuid.uuid4().hex}"
     with ingest.SqlIngestor(spark, f"jdbc:derby:{path}{'/' if '/' in path else ''}db{uuid.uuid4().hex};create=true") as i:
         i.ingest("CREATE TABLE nations (k BIGINT, name VARCHAR(40), region BIGINT)")

@@ -29,11 +29,13 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the one the cluster names, or a local one where none is set."""
+    """The shared folder for checkpoints: the one the cluster names; on a single machine a local one where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
         if named is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
             named = tempfile.mkdtemp(prefix="tessera-checkpoint-", dir=os.environ.get("TMPDIR"))
         spark.sparkContext.setCheckpointDir(named)
         current = spark.sparkContext.getCheckpointDir()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,26 +12,32 @@ from pyspark.sql import functions as F
 from tessera.sources.files import Files
 
 
-class CheckpointFile:
-    """``{key: {updated_at, last_id, ts}}`` in one JSON file that is replaced atomically."""
+class Mark(NamedTuple):
+    """How far a key was read: the last ``updated_at`` as text, the last id at that time, and when this was noted."""
+
+    updated_at: str = ""
+    last_id: int = 0
+    ts: int = 0
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._files, self.path = Files(spark), path
 
-    def load(self) -> dict[str, dict]:
-        text = self._files.read(self.path)
-        return {} if text is None else json.loads(text)
+class Marks:
+    """The marks of all keys as one JSON object of objects; a change reads it, changes one key and replaces the whole at once."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._files, self._path = Files(spark), path
 
-    def save(self, data: dict[str, dict]) -> None:
-        self._files.replace(self.path, json.dumps(data, ensure_ascii=False, indent=2))
+    def all(self) -> dict[str, Mark]:
+        """Fields that an entry lacks have their defaults; further fields are ignored."""
+        entries = json.loads(self._files.read(self._path) or "{}")
+        return {key: Mark(str(e.get("updated_at") or ""), int(e.get("last_id") or 0), int(e.get("ts") or 0)) for key, e in entries.items()}
 
-    def get(self, key: str) -> tuple[str, int] | None:
-        """Null for an unknown key; missing fields are ``""`` and 0."""
-        d = self.load().get(key)
-        return (d.get("updated_at", ""), int(d.get("last_id", 0))) if d else None
+    def of(self, key: str) -> Mark | None:
+        return self.all().get(key)
 
-    def put(self, key: str, updated_at: str, last_id: int) -> None:
-        self.save(self.load() | {key: {"updated_at": updated_at, "last_id": last_id, "ts": int(time.time())}})
+    def advance(self, key: str, updated_at: str, last_id: int) -> Mark:
+        mark = Mark(updated_at, last_id, int(time.time()))
+        self._files.replace(self._path, json.dumps({k: m._asdict() for k, m in {**self.all(), key: mark}.items()}, ensure_ascii=False, indent=2))
+        return mark
 
 
 def after(ts: str, id_col: str, mark: tuple[Column, Column]) -> Column:

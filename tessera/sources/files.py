@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +30,33 @@ class Files:
     def replace(self, path: str, text: str) -> None:
         """Write beside the target and rename over it."""
         fs, p = self._at(path)
-        tmp = self._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-        s = fs.create(tmp, True)
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        s = fs.create(self._jvm.org.apache.hadoop.fs.Path(tmp), True)
         try:
             s.write(bytearray(text.encode()))
         finally:
             s.close()
+        self._rename(tmp, path)
+
+    def _rename(self, tmp: str, path: str) -> None:
+        fs, p = self._at(path)
         options = self._jvm.org.apache.hadoop.fs.Options.Rename
         ctx = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), self._conf)
         array = self._jvm.java.lang.reflect.Array.newInstance(options.OVERWRITE.getClass(), 1)
         array[0] = options.OVERWRITE
-        ctx.rename(fs.makeQualified(tmp), fs.makeQualified(p), array)
+        ctx.rename(fs.makeQualified(self._jvm.org.apache.hadoop.fs.Path(tmp)), fs.makeQualified(p), array)
+
+    def write_lines(self, path: str, parts: Iterator[str]) -> None:
+        """Texts one after the other into one file, beside the target and then renamed over it."""
+        fs, p = self._at(path)
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        s = fs.create(self._jvm.org.apache.hadoop.fs.Path(tmp), True)
+        try:
+            for x in parts:
+                s.write(bytearray(x.encode()))
+        finally:
+            s.close()
+        self._rename(tmp, path)
 
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import itertools
+import json
 import math
 import re
 from collections.abc import Callable, Iterator, Mapping
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from tessera.interfaces import BaseIngestor
 from tessera.session import stored
+from tessera.sources.files import Files
 from tessera.sources.retry import retryable
 
 #: Fixed value: rows per fetch of a streamed read.
@@ -177,26 +179,32 @@ def json_lines(df: DataFrame) -> DataFrame:
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """One indented array in one UTF-8 file, streamed row by row through the driver; its folder is made."""
-    import json
-    import os
+    """One indented array in one UTF-8 file on any of Spark's file systems, streamed row by row through the driver."""
 
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    tmp = f"{path}.tmp"
-    with open(tmp, "w", encoding="utf-8") as f:
+    def parts() -> Iterator[str]:
         first = True
         for r in json_lines(df).toLocalIterator():
-            text = json.dumps(json.loads(r[0]), ensure_ascii=False, indent=2).replace("\n", "\n  ")
-            f.write(("[\n  " if first else ",\n  ") + text)
+            yield ("[\n  " if first else ",\n  ") + json.dumps(json.loads(r[0]), ensure_ascii=False, indent=2).replace("\n", "\n  ")
             first = False
-        f.write("[]" if first else "\n]")
-    os.replace(tmp, path)
+        yield "[]" if first else "\n]"
 
+    Files(df.sparkSession).write_lines(path, parts())
 
-def write_json_object(record: Mapping[str, Any], path: str) -> None:
-    import json
-    import os
 
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(record, f, ensure_ascii=False, indent=2, default=str)
+def write_json_object(spark: SparkSession, record: Mapping[str, Any], path: str) -> None:
+    Files(spark).write_lines(path, iter([json.dumps(record, ensure_ascii=False, indent=2, default=str)]))
+
+
+def write_result(spark: SparkSession, result: DataFrame | Mapping[str, Any] | Iterator[Row], path: str) -> None:
+    """A row count as one object, a DataFrame as one array, anything else row by row as lines."""
+    if isinstance(result, DataFrame):
+        write_json_array(result, path)
+    elif isinstance(result, Mapping):
+        write_json_object(spark, result, path)
+    else:
+        lines = (json.dumps(r.asDict(True) if isinstance(r, Row) else dict(r), ensure_ascii=False, default=_plain) + "\n" for r in result)
+        Files(spark).write_lines(path, lines)
+
+
+def _plain(v: Any) -> str:
+    return v.isoformat() if isinstance(v, (dt.date, dt.datetime)) else str(v)

@@ -96,12 +96,15 @@ def test_ingest_and_sinks(spark, tmp_path):
     assert json.loads((tmp_path / "e.json").read_text()) == []
     ingest.write_ndjson(df, str(tmp_path / "n"))
     assert spark.read.json(str(tmp_path / "n")).count() == 1
-    ingest.write_json_object({"a": dt.date(2024, 1, 2)}, str(tmp_path / "o.json"))
+    ingest.write_result(spark, {"a": dt.date(2024, 1, 2)}, str(tmp_path / "o.json"))
+    ingest.write_result(spark, df.select("id", "s", "day").toLocalIterator(), str(tmp_path / "l.json"))
+    assert (tmp_path / "l.json").read_text() == '{"id": 1, "s": "é", "day": "2024-01-02"}\n'
     assert json.loads((tmp_path / "o.json").read_text()) == {"a": "2024-01-02"}
 
 
 def test_jdbc(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
     with ingest.SqlIngestor(spark, url) as i:
         assert i.ingest("CREATE TABLE people (id INT, name VARCHAR(40), born DATE, seen TIMESTAMP)") == {"rowcount": 0}
         for n, name in enumerate(["ann", "o'hara", ":ann", None]):
@@ -156,11 +159,12 @@ def test_retry():
 
 
 def test_checkpoints(spark, tmp_path):
-    c = checkpoints.CheckpointFile(spark, str(tmp_path / "cp.json"))
-    assert c.get("k") is None
-    c.put("k", "2024-01-01T00:00:00", 5)
-    c.save(c.load() | {"half": {"ts": 1}})
-    assert c.get("k") == ("2024-01-01T00:00:00", 5) and c.get("half") == ("", 0)
+    c = checkpoints.Marks(spark, str(tmp_path / "cp.json"))
+    assert c.of("k") is None and c.all() == {}
+    (tmp_path / "cp.json").write_text('{"half": {"ts": 1}, "odd": {"updated_at": null, "more": 5}}')
+    c.advance("k", "2024-01-01T00:00:00", 5)
+    assert c.of("k")[:2] == ("2024-01-01T00:00:00", 5) and c.of("k").ts > 0 and c.of("half") == ("", 0, 1) and c.of("odd") == ("", 0, 0)
+    assert json.loads((tmp_path / "cp.json").read_text())["k"]["last_id"] == 5
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "t INT, id INT")
     assert checkpoints.read_after(df, "t", "id", (F.lit(1), F.lit(1))).count() == 2 and checkpoints.read_after(df, "t", "id", None).count() == 3
     assert checkpoints.new_mark(df, "t", "id") == (2, 1) and checkpoints.new_mark(df.filter("false"), "t", "id") is None
