@@ -23,8 +23,8 @@ from tessera.llm import blocks
 from tessera.llm.mixing import plain_source
 from tessera.session import table
 
-#: Bound of the fitted sample: labelled documents, chosen by hash of their id.
-MAX_LABELLED = 20_000
+#: Bounds of the fitted sample: labelled documents, chosen by hash of their id, and code points of their texts.
+MAX_LABELLED, MAX_SIGNS = 20_000, 64_000_000
 #: Features, neighbours, least cosine of a neighbour, power of the distance weight, prior votes and their share of bad.
 FEATURES, NEIGHBOURS, NEAR, POWER, PRIOR, PRIOR_BAD = 1 << 18, 9, 0.32, 3.0, 0.12, 0.02
 BLOCK = 32
@@ -247,13 +247,25 @@ def document_labels(labels: DataFrame) -> DataFrame:
     return v.groupBy("doc_id").agg(F.avg((F.col("verdict") != "none").cast("double")).alias("bad"))
 
 
+def _bounded(labelled: DataFrame) -> list:
+    """The rows in the order of their hash as long as their texts together stay within ``MAX_SIGNS``; whole texts only."""
+    labelled = labelled.withColumn("h", F.xxhash64("doc_id"))
+    left, ids = MAX_SIGNS, []
+    for r in sorted(labelled.select("h", "doc_id", F.length("text").alias("n")).collect()):  # numbers of a bounded sample
+        left -= r["n"]
+        if left < 0:
+            break
+        ids.append(r["doc_id"])
+    return labelled.drop("h").join(F.broadcast(labelled.sparkSession.createDataFrame([(i,) for i in ids], "doc_id BIGINT")), "doc_id", "left_semi").collect() if left < 0 else labelled.drop("h").collect()
+
+
 class Model:
     """Index of purified examples and the calibration of its votes."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame) -> None:
         self.weights = weights(docs)
         chosen = document_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-        rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null").dropDuplicates(["doc_id"]).collect()
+        rows = _bounded(docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null").dropDuplicates(["doc_id"]))
         fs, number = Features(), {}
         examples: list[tuple[np.ndarray, np.ndarray]] = []
         odd: list[bool] = []

@@ -10,9 +10,7 @@ A token lies in one block only and a block is used at most ``max_repeats`` times
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,22 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import blocks
+from tessera.operators.chunking import codec
 from tessera.session import cut, table
 
 #: Production parameters: tokens of a block, blocks of an output shard, seed.
 BLOCK, SHARD, SEED = 512, 2048, 11
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Fixed value: how the tokenizer cuts a text before merging.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-@lru_cache(maxsize=2)
-def encoding(path: str):
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def plain_source(col: str) -> Column:
@@ -49,9 +37,9 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        e = encoding(vocabulary)
+        e = codec(vocabulary)
         for s in parts:
-            yield pd.Series([np.asarray(e.encode_ordinary(t), np.int32) for t in s.fillna("")], dtype=object)
+            yield pd.Series([np.asarray(e.encode(t), np.int32) for t in s.fillna("")], dtype=object)
 
     return docs.withColumn("tokens", encode("text")).drop("text").withColumn("n", F.size("tokens").cast("bigint")).filter("n > 0")
 

@@ -68,8 +68,8 @@ def test_mixture(spark):
         uses[r["source"], r["block"]] = uses.get((r["source"], r["block"]), 0) + 1
     assert max(n for (s, _), n in uses.items() if s == "big") == 1 and max(uses.values()) <= 2
     whole = mixing.source_blocks(df, length=32).collect()
-    enc = mixing.encoding(mixing.VOCABULARY)
-    want = sum(len(enc.encode_ordinary(d[1] or "")) for d in docs if d[2])
+    enc = mixing.codec(mixing.VOCABULARY)
+    want = sum(len(enc.encode(d[1] or "")) for d in docs if d[2])
     assert sum(len(r["tokens"]) for r in whole) == want and max(len(r["tokens"]) for r in whole) == 32
     sh = {r["source"]: r for r in mixing.shares(m, t).collect()}
     assert sh["absent"]["tokens"] == 0 and abs(sum(r["actual_share"] for r in sh.values()) - 1) < 1e-4
