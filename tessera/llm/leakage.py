@@ -57,6 +57,7 @@ class _Space:
     def __init__(self, idf: np.ndarray, basis: np.ndarray) -> None:
         self.idf, self.basis = idf.astype(np.float32), basis.astype(np.float32)
         self.weighed = self.basis * self.idf[:, None]
+        self._padded: np.ndarray | None = None
 
     def passages(self, h: np.ndarray, width: int, step: int) -> tuple[np.ndarray, np.ndarray]:
         starts = _windows(len(h), width, step)
@@ -76,14 +77,13 @@ class _Space:
             of.append(np.full(len(w), n))
             at += len(h)
         start, end = np.concatenate(start), np.concatenate(end)
-        x = self.weighed[_slots(np.concatenate(hs))]
-        # sums of words go block by block, so that their differences stay exact enough in single precision
-        v = np.empty((len(start), x.shape[1]), np.float32)
-        for s in range(0, len(start), 4096):
-            lo, hi = start[s], end[s : s + 4096].max()
-            c = np.concatenate([np.zeros((1, x.shape[1]), np.float64), np.cumsum(x[lo:hi], axis=0, dtype=np.float64)])
-            v[s : s + 4096] = c[end[s : s + 4096] - lo] - c[start[s : s + 4096] - lo]
-        n = np.linalg.norm(v, axis=1, keepdims=True)
+        if self._padded is None:
+            self._padded = np.concatenate([self.weighed, np.zeros((1, self.weighed.shape[1]), np.float32)])
+        slots = np.append(_slots(np.concatenate(hs)), len(self.weighed))  # the last one stands for words after the end
+        v = np.zeros((len(start), self.weighed.shape[1]), np.float32)
+        for i in range(width):
+            v += self._padded[slots[np.where(start + i < end, start + i, len(slots) - 1)]]
+        n = np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
         n[n == 0] = 1
         return v / n, np.concatenate(of)
 
@@ -245,7 +245,7 @@ def _search(space: _Space, rows: list[tuple[int, list[str], np.ndarray]]):
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, s = Hasher(), _Space.__new__(_Space)
-        s.weighed, s.idf = weighed, idf
+        s.weighed, s.idf, s._padded = weighed, idf, None
         for b in batches:
             docs_ids = b.column(0).to_pylist()
             out = []
