@@ -1,9 +1,9 @@
 """Choosing a varied subset.
 
-Records are counted by category combinations: a region of the vector space and a collection. A
-minimum-cost flow gives each combination its quota: regions and collections have balanced targets, and each further step
+Records are counted by category combinations: a region of the vector space (centroids fitted on a bounded sample) and a
+collection. A minimum-cost flow gives each combination its quota: regions and collections have balanced targets, and each further step
 above a target costs more (convex). Within a combination records are taken by a fixed rank in which the second and later
-records of a crowd of almost equal vectors come after all first ones, and higher scores come first.
+records of a group of almost equal vectors come after all first ones, and higher scores come first.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tessera.llm import vectors as V
 from tessera.session import cut, table
 
-#: Production parameters: records to choose, random planes that cut the space into regions.
-SIZE, PLANES = 1000, 5
+#: Production parameters: records to choose; records to choose per region of the vector space, fewest and most regions.
+SIZE, PER_REGION, LEAST_REGIONS, MOST_REGIONS = 1000, 20, 8, 1024
 #: Collections that are categories of their own, or as many as records are chosen if that is more. Further ones share a
 #: category: so many records cannot show more collections anyway.
 KINDS = 256
@@ -102,18 +102,17 @@ def varied_subset(records: DataFrame, size: int = SIZE) -> DataFrame:
     """
     c = V.Lists(records.select("id", "o", "vector"), V.CROWD, V.LEAST)
     seen = V.counted(c)
-    crowd = V.crowded(c, seen)
-    # a crowd goes by the least hash in sight of its members
+    # almost equal records go by the least hash in sight of each; equal ones have one hash
     leader = seen.groupBy("h").agg(F.min("low").alias("low")).select("h", F.least("h", "low").alias("leader"))
-    planes = np.random.default_rng(3).standard_normal((PLANES, V.DIM))
-    sides = [F.when(F.aggregate(F.zip_with("vector", F.array(*[F.lit(float(x)) for x in p]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) > 0, F.lit("1")).otherwise(F.lit("0")) for p in planes]
+    regions = V.centroids(c.sample, max(LEAST_REGIONS, min(MOST_REGIONS, size // PER_REGION))) if len(c.sample) else c.centroids
     r = records.withColumn("vector", F.col("vector").cast("array<double>")).withColumn("ok", V.usable("vector"))
-    r = r.withColumn("h", F.when(F.col("ok"), F.xxhash64("vector"))).withColumn("region", F.when(F.col("ok"), F.concat(*sides)))
-    r = V.live(r, ["h", "region", "collection", "score"]).filter("h is not null").dropDuplicates(["key", "id"])
+    r = r.withColumn("h", F.when(F.col("ok"), F.xxhash64("vector"))).select("id", F.struct("o", "collection", "score").alias("o"), "h", "vector")
+    kinds = {f.name: f.dataType.simpleString() for f in records.schema}
+    r = r.mapInArrow(V.placed(regions), f"id STRING, o STRUCT<o: {kinds['o']}, collection: {kinds['collection']}, score: {kinds['score']}>, h BIGINT, home INT")
+    r = V.live(r.select("id", "o.o", "h", F.col("home").cast("string").alias("region"), "o.collection", "o.score"), ["h", "region", "collection", "score"]).filter("h is not null").dropDuplicates(["key", "id"])
     r = r.select("h", "id", "region", F.coalesce("collection", F.lit("-")).alias("kind"), F.when(~F.isnan("score"), F.col("score")).alias("score"))
-    r = r.join(crowd.select("id", F.lit(True).alias("crowded")), "id", "left").join(leader, "h", "left")
-    # who is in no crowd stands for itself
-    group = F.when(F.col("crowded"), F.coalesce("leader", "h")).otherwise(F.xxhash64("id", F.lit(1)))
+    r = r.join(leader, "h", "left")
+    group = F.coalesce("leader", "h")
     first = F.col("score").desc_nulls_last()
     # best of a crowd first: the single best is found by partial aggregation, the rest are only marked as later ones
     r = cut(r.withColumn("group", group).select("id", "region", "kind", "score", "group"))

@@ -147,12 +147,12 @@ class Lists:
         self.vectors = v.filter("ok").select("h", "vector")
         rows = versions.count()
         lists = int(min(LISTS, max(1, rows // LIST)))
-        sample = _sampled(self.vectors, rows, lists)
+        self.sample = sample = _sampled(self.vectors, rows, lists)
         self.centroids = centroids(sample, lists) if len(sample) else np.zeros((1, DIM), np.float32)
         self.probes = probes(sample, self.centroids, k, least)
         o = f"STRUCT<{','.join(f'{x.name}: {x.dataType.simpleString()}' for x in v.schema['o'].dataType)}>"
-        placed = v.select("id", "o", "h", "vector").mapInArrow(_placed(self.centroids), f"id STRING, o {o}, h BIGINT, home INT")
-        self.members = stored(live(placed, ["h", "home"]).filter("h is not null").select("h", "home", "id").distinct())
+        there = v.select("id", "o", "h", "vector").mapInArrow(placed(self.centroids), f"id STRING, o {o}, h BIGINT, home INT")
+        self.members = stored(live(there, ["h", "home"]).filter("h is not null").select("h", "home", "id").distinct())
         self.classes = stored(self.members.groupBy("h").agg(F.first("home").alias("home"), F.min("id").alias("name"), F.count("*").alias("size")))
         self.blocks = np.ones(len(self.centroids), np.int64)
         for r in self.classes.groupBy("home").agg(F.count("*").alias("n")).collect():  # a row per list
@@ -185,7 +185,7 @@ def _near(u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return near, home
 
 
-def _placed(c: np.ndarray):
+def placed(c: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = np.flatnonzero(np.asarray(b.column(2).is_valid()))
