@@ -135,3 +135,78 @@ def test_filters(spark):
     assert ids(document_filter({"$or": [{"$contains": "x"}, {"$contains": "y"}]}, "zone")) == ["a", "c"]
     with pytest.raises(ValueError):
         operator_filter(df, {"zone": {"$like": "x"}})
+
+
+def test_components_share_their_interfaces(spark):
+    from tessera import interfaces
+    from tessera.operators import chunking, collections, html
+
+    assert issubclass(keyword.KeywordIndex, interfaces.BaseKeywordIndex) and issubclass(keyword.NativeKeywordIndex, interfaces.BaseKeywordIndex)
+    assert isinstance(collections.open_store(spark, "memory"), interfaces.SupportsKeywordSearch) and not isinstance(object(), interfaces.SupportsKeywordSearch)
+    for base in (interfaces.BaseIngestor, interfaces.BasePreprocessor, interfaces.BaseChunker, interfaces.BaseKeywordIndex, interfaces.BaseFusor, interfaces.BaseReranker):
+        with pytest.raises(TypeError):
+            base()
+    lanes = spark.createDataFrame([(1, 0, 1, "a"), (1, 0, 2, "b"), (1, 1, 1, "b")], "query_id BIGINT, lane INT, rank INT, id STRING")
+    assert [r["id"] for r in fusion.ReciprocalRankFusor(60).fuse(lanes).orderBy("rank").collect()] == ["b", "a"]
+    docs = spark.createDataFrame([("d", "one two three four five"), ("n", None), ("e", "")], "doc_id STRING, text STRING")
+    assert [r["id"] for r in chunking.WindowChunker(3, 1).chunk(docs).orderBy("id").collect()] == ["d:000000", "d:000001"]
+    assert chunking.RecursiveChunker(50, 5).chunk(docs).count() == 2
+    with pytest.raises(ValueError):
+        chunking.RecursiveChunker(5, 5)
+    page = spark.createDataFrame([("p", "<h1>A</h1>")], "doc_key STRING, html STRING")
+    assert html.HtmlPreprocessor().process(page).first()["markdown"] == "# A"
+    with pytest.raises(ValueError):
+        rerank.MmrReranker(1.5)
+
+
+def test_pair_scores_take_the_text_from_document_or_metadata(spark):
+    rows = [(1, 1, "red fox", None, {"document": "a red fox"}), (1, 2, "red fox", "", None), (1, 3, "red fox", "red", {"document": "x"})]
+    hits = spark.createDataFrame(rows, "query_id BIGINT, rank BIGINT, query STRING, document STRING, metadata MAP<STRING,STRING>")
+    got = rerank.PairReranker(rerank.overlap_scorer).rerank(hits).orderBy("new_rank").collect()
+    assert [(r["old_rank"], r["score"]) for r in got] == [(1, 1.0), (3, 0.5), (2, 0.0)]
+
+
+def test_models_are_loaded_by_the_worker(tmp_path, monkeypatch):
+    import sys
+    import types
+
+    from tessera.operators import embedding
+
+    with pytest.raises(FileNotFoundError):
+        embedding.local_embedder(str(tmp_path / "none"))()
+    with pytest.raises(RuntimeError, match="raw checkpoint"):
+        embedding.local_embedder(str(tmp_path))()
+    fake = types.ModuleType("sentence_transformers")
+    fake.SentenceTransformer = lambda name, device=None: types.SimpleNamespace(encode=lambda texts, **_: np.ones((len(texts), 2)))
+    fake.CrossEncoder = lambda name, device=None: types.SimpleNamespace(predict=lambda pairs, batch_size: [len(b) for _, b in pairs])
+    monkeypatch.setitem(sys.modules, "sentence_transformers", fake)
+    (tmp_path / "modules.json").write_text("[]")
+    assert embedding.packaged(str(tmp_path)) and embedding.local_embedder(str(tmp_path))()(["a", "b"]) == [[1.0, 1.0], [1.0, 1.0]]
+    assert rerank.model_scorer("m")()(["q", "q"], ["a", "bcd"]) == [1.0, 3.0] and rerank.model_scorer("m")()([], []) == []
+    monkeypatch.setitem(sys.modules, "sentence_transformers", None)
+    with pytest.raises(RuntimeError):
+        rerank.model_scorer("m")()
+
+
+def test_keyword_edge_cases(spark):
+    docs = spark.createDataFrame([("a", "cat cat dog", 1), ("b", None, 2), ("c", "", 3), ("d", "dog", 4)], "id STRING, text STRING, score INT")
+    qs = spark.createDataFrame([(1, "cat"), (2, None), (3, "zebra"), (None, "cat"), (1, "dog")], "query_id BIGINT, text STRING")
+    o = {(r["query_id"], r["rank"]): r["id"] for r in keyword.okapi(docs, qs, 3).collect()}
+    assert o[1, 1] == "a" and [o[2, k] for k in (1, 2, 3)] == ["a", "b", "c"] == [o[3, k] for k in (1, 2, 3)] and len(o) == 9
+    s = keyword.sparse_idf(docs, qs, 3).collect()
+    assert {(r["query_id"], r["id"]) for r in s} == {(1, "a"), (1, "d")}
+    ready = keyword.with_sparse(docs.select("id", "text"), "text")
+    assert sorted(map(tuple, keyword.sparse_idf(ready, qs, 3).collect())) == sorted(map(tuple, s))
+    none = docs.filter("false")
+    assert keyword.okapi(none, qs, 3).count() == keyword.sparse_idf(none, qs, 3).count() == keyword.okapi(docs, qs.filter("false"), 3).count() == keyword.sparse_idf(docs, qs.filter("false"), 3).count() == 0
+    with pytest.raises(ValueError, match="at most"):
+        keyword.okapi(docs, qs, 3, most=2)
+    long = spark.createDataFrame([(1, "word " * 200_000)], "query_id BIGINT, text STRING")
+    assert keyword.okapi(docs, long, 1).count() == 1
+
+
+def test_best_scores_keep_ties_in_order():
+    best = keyword._Best(2, 1)
+    assert best.keep(np.array([[1.0], [3.0], [3.0], [3.0]])).ravel().tolist() == [False, True, True, False]
+    assert best.keep(np.array([[2.0], [3.0], [4.0]])).ravel().tolist() == [False, True, True]
+    assert best.keep(np.array([[2.0], [5.0]])).ravel().tolist() == [False, True]
