@@ -320,7 +320,7 @@ class Model:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * raw.n
         if raw.n:
             parts = min(64, max(1, raw.n // 500))
-            for r in docs.sparkSession.range(0, raw.n, 1, parts).mapInArrow(run, "i BIGINT, j BINARY, c BINARY").toLocalIterator():
+            for r in docs.sparkSession.range(0, raw.n, 1, parts).mapInArrow(run, "i BIGINT, j BINARY, c BINARY").collect():
                 out[r["i"]] = np.frombuffer(r["j"], np.int32).astype(np.int64), np.frombuffer(r["c"], np.float32)
         return out
 
@@ -337,21 +337,20 @@ class Model:
         y = np.array([truth[d] for d in of_doc.tolist()], np.float64)
         groups = np.flatnonzero(np.concatenate([[True], of_doc[1:] != of_doc[:-1], [True]])) if len(of_doc) else np.zeros(1, np.int64)
         votes = np.zeros(len(y))
-        for step in range(4):
+        # the neighbours of each label one after the other, itself last, and which labels of the same document they bear
+        at = {(d, e): k for k, (d, e) in enumerate(zip(of_doc.tolist(), place.tolist(), strict=True))}
+        near_of = [np.append(near[e][0], e) for e in place.tolist()]
+        j = np.concatenate(near_of) if near_of else np.zeros(0, np.int64)
+        cosine = np.concatenate([np.append(near[e][1].astype(np.float64), 1.0) for e in place.tolist()]) if near_of else np.zeros(0)
+        start = np.cumsum([0, *(len(x) for x in near_of[:-1])]) if near_of else np.zeros(0, np.int64)
+        own = np.array([at.get((d, x), -1) for d, xs in zip(of_doc.tolist(), near_of, strict=True) for x in xs.tolist()], np.int64)
+        mine = own >= 0
+        for step in range(4 if len(y) else 0):
             bad = np.bincount(place, weights=y, minlength=raw.n)
-            own: dict[tuple[int, int], float] = {(d, e): v for d, e, v in zip(of_doc.tolist(), place.tolist(), y.tolist(), strict=True)}
-            strange = np.ones(len(y))
-            for k, (d, e) in enumerate(zip(of_doc.tolist(), place.tolist(), strict=True)):
-                j, c = near[e]
-                b, n = np.append(bad[j], bad[e]), np.append(raw.count[j], raw.count[e])
-                c = np.append(c, 1.0)
-                for q, x in enumerate([*j.tolist(), e]):
-                    if (d, x) in own:
-                        b[q] -= own[d, x]
-                        n[q] -= 1
-                keep = n > 0.5
-                votes[k] = vote(b[keep], n[keep], c[keep])
-                strange[k] = 1.0 - float(c[keep & (b < 0.5 * n)].max(initial=0.0))
+            b, n = bad[j] - np.where(mine, y[own], 0.0), raw.count[j] - mine
+            w = np.where(n > 0.5, cosine**POWER * np.minimum(n, MOST_VOTES), 0.0)
+            votes = (np.add.reduceat(w * b / np.maximum(n, 1e-9), start) + PRIOR * PRIOR_BAD) / (np.add.reduceat(w, start) + PRIOR)
+            strange = 1.0 - np.maximum.reduceat(np.where((n > 0.5) & (b < 0.5 * n), cosine, 0.0), start)
             if step == 3:
                 break
             sure = votes >= 0.5

@@ -147,7 +147,7 @@ def _corpus_gram(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndar
         return pd.DataFrame({"i": [int(g["i"].iloc[0])], "x": [s.astype(np.float32).tobytes()]})
 
     out = np.zeros((FEATURES, r), np.float64)
-    for row in docs.select("text").mapInArrow(run, "i INT, x BINARY").groupBy("i").applyInPandas(add, "i INT, x BINARY").toLocalIterator():
+    for row in docs.select("text").mapInArrow(run, "i INT, x BINARY").groupBy("i").applyInPandas(add, "i INT, x BINARY").collect():
         out[row["i"] * step : (row["i"] + 1) * step] = np.frombuffer(row["x"], np.float32).reshape(step, r)
     return out
 
