@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,5 +56,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored_parts(parts: Iterable[DataFrame]) -> DataFrame:
+    """One table in the shared folder of at least one part, each a file that is written before the next part is asked for."""
+    path = None
+    for df in parts:
+        path = path or f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+        df.coalesce(1).write.mode("append").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

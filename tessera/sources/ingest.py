@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.interfaces import BaseIngestor
-from tessera.session import stored
+from tessera.session import stored, stored_parts
 from tessera.sources.files import Files
 from tessera.sources.retry import retryable
 
@@ -29,6 +29,9 @@ FETCH_SIZE = 1000
 _MARKER = re.compile(r"""'(?:[^']|'')*'|"[^"]*"|(?<![:\w]):([A-Za-z_]\w*)""")
 _READS = re.compile(r"\s*(?:\(|select\b|with\b|values\b|show\b|describe\b)", re.I)
 
+#: URLs of databases inside the process that opens them: another process does not see them or finds them locked.
+_EMBEDDED = re.compile(r"jdbc:(?:derby:(?!//)|h2:(?!(?:tcp|ssl):)|hsqldb:(?!(?:hsql|http)s?:)|sqlite:|duckdb:)", re.I)
+
 
 def with_markers(query: str, params: Mapping[str, Any], put: Callable[[Any], str]) -> str:
     """The query with ``put(value)`` for each ``:name`` outside quotes. A name without a value is an error."""
@@ -72,7 +75,8 @@ class SqlIngestor(BaseIngestor):
     Without a ``url`` the query runs on the views and tables of the session; with one it is pushed to that database by
     JDBC, and a partition column with bounds splits the read. There statements that return no rows run as well, and give
     ``{"rowcount": N}``. Values are bound under ``:name``: by the engine itself, or by a prepared statement; only a read by JDBC
-    takes them as typed literals.
+    takes them as typed literals. A database inside the driver's process is read by the driver where executors are other
+    processes, ``fetch_size`` rows at a time.
     """
 
     def __init__(self, spark: SparkSession, url: str | None = None, stream: bool = False, properties: Mapping[str, str] | None = None) -> None:
@@ -80,9 +84,17 @@ class SqlIngestor(BaseIngestor):
         self._pool: ThreadPoolExecutor | None = None
 
     def frame(self, query: str, params: Mapping[str, Any] | None = None, *, fetch_size: int = FETCH_SIZE, split: tuple[str, int, int, int] | None = None) -> DataFrame:
-        """The lazy result. split: column, lower bound, upper bound, number of partitions (JDBC only)."""
+        """The lazy result. split: column, lower bound, upper bound, number of partitions (JDBC only).
+
+        What only the driver can read is read at once, in one piece whatever the split, and kept in the shared folder.
+        """
         if self.url is None:
             return self.spark.sql(query, args=dict(params or {}))
+        if self._driver_only():
+            return stored_parts(self._blocks(query, params, fetch_size))
+        return self._pushed(query, params, fetch_size, split)
+
+    def _pushed(self, query: str, params: Mapping[str, Any] | None, fetch_size: int, split: tuple[str, int, int, int] | None = None) -> DataFrame:
         query = with_markers(query, params or {}, literal)
         r = self.spark.read.format("jdbc").options(url=self.url, fetchsize=fetch_size, **self.properties)
         if split:
@@ -90,15 +102,57 @@ class SqlIngestor(BaseIngestor):
             return r.options(dbtable=f"({query}) q", partitionColumn=c, lowerBound=lo, upperBound=hi, numPartitions=n).load()
         return r.option("query", query).load()
 
+    def _driver_only(self) -> bool:
+        return self.url is not None and _EMBEDDED.match(self.url) is not None and not self.spark.sparkContext._jsc.sc().isLocal()
+
+    def _blocks(self, query: str, params: Mapping[str, Any] | None, fetch_size: int) -> Iterator[DataFrame]:
+        """The rows in their order, in blocks that the driver reads, converted as Spark's own JDBC source does; at least one block."""
+        jvm = self.spark._jvm
+        sql, java = jvm.org.apache.spark.sql, jvm.scala.jdk.javaapi.CollectionConverters
+        schema = self._pushed(query, params, fetch_size)._jdf.schema()
+        with self._connected() as c:
+            s = c.createStatement()
+            s.setFetchSize(fetch_size)
+            rows = s.executeQuery(with_markers(query, params or {}, literal))
+            blocks = sql.execution.datasources.jdbc.JdbcUtils.resultSetToRows(rows, schema, sql.jdbc.JdbcDialects.get(self.url)).grouped(fetch_size or FETCH_SIZE)
+            block = java.asJava(blocks.next()) if blocks.hasNext() else jvm.java.util.ArrayList()
+            while block is not None:
+                yield DataFrame(self.spark._jsparkSession.createDataFrame(block, schema), self.spark)
+                block = java.asJava(blocks.next()) if blocks.hasNext() else None
+
+    @contextlib.contextmanager
+    def _connected(self) -> Iterator[Any]:
+        """A connection of the driver for one transaction, rolled back after an error or when a stream is given up."""
+        jvm = self.spark._jvm
+        p = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            p.setProperty(k, str(v))
+        c = jvm.java.sql.DriverManager.getConnection(self.url, p)
+        try:
+            c.setAutoCommit(False)
+            yield c
+            c.commit()
+        except BaseException:
+            with contextlib.suppress(Exception):
+                c.rollback()
+            raise
+        finally:
+            with contextlib.suppress(Exception):
+                c.close()
+
     @retryable
     def fetched(self, query: str, params: Mapping[str, Any] | None = None, **options: Any) -> DataFrame:
         """The result read to its end and kept as a table in the shared folder; the read is what is repeated after an error."""
-        return stored(self.frame(query, params, **options))
+        df = self.frame(query, params, **options)
+        return df if self._driver_only() else stored(df)
 
     @retryable
     def _opened(self, query: str, params: Mapping[str, Any] | None, chunk_size: int) -> Iterator[Row]:
         """An iterator whose first row is there: errors before it are repeated, later ones are the caller's."""
-        rows = self.frame(query, params, fetch_size=chunk_size).toLocalIterator()
+        if self._driver_only():
+            rows = (r for b in self._blocks(query, params, chunk_size) for r in b.collect())
+        else:
+            rows = self.frame(query, params, fetch_size=chunk_size).toLocalIterator()
         first = list(itertools.islice(rows, 1))
         return itertools.chain(first, rows)
 
@@ -110,12 +164,7 @@ class SqlIngestor(BaseIngestor):
         values: list[Any] = []
         text = with_markers(statement, params or {}, lambda v: values.append(v) or "?")
         jvm = self.spark._jvm
-        p = jvm.java.util.Properties()
-        for k, v in self.properties.items():
-            p.setProperty(k, str(v))
-        c = jvm.java.sql.DriverManager.getConnection(self.url, p)
-        try:
-            c.setAutoCommit(False)
+        with self._connected() as c:
             s = c.prepareStatement(text)
             for i, v in enumerate(values, 1):
                 if isinstance(v, dt.datetime):
@@ -123,16 +172,7 @@ class SqlIngestor(BaseIngestor):
                 elif isinstance(v, dt.date):
                     v = jvm.java.sql.Date.valueOf(v.isoformat())
                 s.setObject(i, v)
-            n = s.executeUpdate()
-            c.commit()
-            return {"rowcount": n}
-        except Exception:
-            with contextlib.suppress(Exception):
-                c.rollback()
-            raise
-        finally:
-            with contextlib.suppress(Exception):
-                c.close()
+            return {"rowcount": s.executeUpdate()}
 
     def ingest(self, query: str, params: Mapping[str, Any] | None = None, chunk_size: int = FETCH_SIZE) -> DataFrame | Iterator[Row] | dict[str, int]:
         if self.url is not None and not _READS.match(query):

@@ -1,6 +1,12 @@
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+from types import SimpleNamespace
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +129,68 @@ def test_jdbc(spark, tmp_path):
         assert i.a_ingest("SELECT id FROM people").result().count() == 4
 
 
+def test_jdbc_read_by_the_driver(spark, tmp_path, monkeypatch):
+    url = f"jdbc:derby:memory:{tmp_path.name};create=true"
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
+    plain = ingest.SqlIngestor(spark, url)
+    plain.execute("CREATE TABLE t (k BIGINT, s CLOB, d DATE, seen TIMESTAMP, x DOUBLE, c CHAR(5), n DECIMAL(9,2), b BOOLEAN, y BLOB)")
+    for k in range(7):
+        plain.execute("INSERT INTO t (k, s, d, seen, x, c, n, b) VALUES (:k, :s, :d, :seen, :x, 'ab', 1.25, :b)", {"k": k, "s": "é" * k, "d": dt.date(2024, 1, 1 + k), "seen": dt.datetime(2024, 1, 2, 3, 4, k, 123456), "x": k / 4, "b": k > 3})
+    plain.execute("INSERT INTO t (k) VALUES (NULL)")
+    q, p = "SELECT * FROM t WHERE k >= :low OR k IS NULL ORDER BY k DESC", {"low": 1}
+    want = plain.frame(q, p)
+    rows = want.collect()
+    monkeypatch.setattr(ingest.SqlIngestor, "_driver_only", lambda self: True)
+    i, s = ingest.SqlIngestor(spark, url), ingest.SqlIngestor(spark, url, stream=True)
+    for n in (1, 3, 7, 1000, 0):  # blocks of one row, with a rest, without one, larger than the result, and of the usual size
+        got = i.ingest(q, p, chunk_size=n)
+        assert len(rows) == 7 and got.schema == want.schema and sorted(got.collect(), key=str) == sorted(rows, key=str)
+        assert list(s.ingest(q, p, chunk_size=n)) == rows
+    assert i.ingest(q.replace(" OR ", " AND "), p).collect() == [] == list(s.ingest(q.replace(" OR ", " AND "), p))
+    next(s.ingest(q, p, chunk_size=1))  # a stream that is given up leaves nothing locked
+    assert i.ingest("UPDATE t SET k = 0 WHERE k > :low", p) == {"rowcount": 5}
+
+
+@pytest.mark.parametrize(("url", "inside"), [("derby:/a/b", True), ("derby:memory:x", True), ("derby://h:1527/x", False), ("h2:mem:x", True), ("h2:tcp://h/x", False), ("hsqldb:file:x", True), ("hsqldb:hsqls://h/x", False), ("sqlite:x", True), ("mysql://h/x", False), ("postgresql://h/x", False)])
+def test_databases_inside_the_driver(spark, monkeypatch, url, inside):
+    i = ingest.SqlIngestor(spark, f"jdbc:{url}")
+    assert not i._driver_only()  # here executors are the driver
+    monkeypatch.setattr(i, "spark", SimpleNamespace(sparkContext=SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: SimpleNamespace(isLocal=lambda: False)))))
+    assert i._driver_only() == inside
+
+
+ON_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+conf = {"spark.master": "local-cluster[2,1,1024]", "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.checkpoint.dir": "file://" + sys.argv[1] + "/shared", "spark.sql.session.timeZone": "UTC"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+from tessera.plans import catalog
+from tessera.sources.ingest import SqlIngestor
+print("ROW", *catalog.QUERIES["ingest_jdbc"](spark, sys.argv[2]).first())
+with SqlIngestor(spark, "jdbc:derby:memory:x;create=true", stream=True) as i:
+    i.ingest("CREATE TABLE t (k INT)")
+    print("ROW", i.ingest("INSERT INTO t VALUES 3, 1, 2")["rowcount"], *[r[0] for r in i.ingest("SELECT k FROM t ORDER BY k", chunk_size=2)])
+spark.stop()
+"""
+
+
+def test_jdbc_on_a_cluster(spark, tmp_path):
+    """Executors are processes of their own; the nations are many, some without a region or of a negative one, one with a long name."""
+    rows = [(k, "n" * (k == 5 and 99 or 3), None if k % 9 == 8 else k % 9 - 3) for k in range(1100)]
+    data, home = tmp_path / "in", tmp_path / "home"
+    spark.createDataFrame(rows, "n_nationkey INT, n_name STRING, n_regionkey INT").write.parquet(str(data / "nation.parquet"))
+    (home / "work").mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():  # the executors' logs go to work in Spark's home
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))}
+    env |= {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_DIRS": str(tmp_path / "local"), "PYTHONPATH": str(Path(__file__).parents[1]), "PYSPARK_PYTHON": sys.executable}
+    said = subprocess.run([sys.executable, "-c", ON_CLUSTER, str(tmp_path), str(data)], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=240)
+    total = sum(0 if r == 2 else k for k, _, r in rows)
+    got = [x for x in said.stdout.splitlines() if x.startswith("ROW")]
+    assert got == [f"ROW 1100 {sum(r == 2 for *_, r in rows)} {total}", "ROW 3 1 2 3"], said.stderr[-2000:]
+
+
 def test_reading_is_repeated(spark, monkeypatch):
     calls = []
 
